@@ -1,0 +1,64 @@
+"""All trend analyses in dependency order, each written to its own table."""
+
+from __future__ import annotations
+
+import datetime
+import logging
+from collections.abc import Callable
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame
+
+from threadloom.operators import trends as A
+
+log = logging.getLogger(__name__)
+
+
+@dataclass
+class Run:
+    """Which analyses wrote a table, and the errors of those that did not."""
+
+    tables: dict[str, str] = field(default_factory=dict)
+    errors: dict[str, Exception] = field(default_factory=dict)
+
+
+def analyses(
+    posts: DataFrame,
+    analysis: DataFrame,
+    subreddits: DataFrame,
+    stored_trends: Callable[[], DataFrame],
+    as_of: str | datetime.date,
+) -> dict[str, Callable[[], DataFrame]]:
+    """Name to plan. weekly_tech_trends comes first; the plans that need its result ask for stored_trends()."""
+    return {
+        "weekly_tech_trends": lambda: A.weekly_tech_trends(posts, analysis),
+        "tech_growth": lambda: A.tech_growth(stored_trends()),
+        "emerging_tech": lambda: A.emerging_tech(stored_trends()),
+        "tech_correlation": lambda: A.tech_correlation(stored_trends(), analysis, as_of),
+        "skill_demand": lambda: A.skill_demand(posts, analysis),
+        "subreddit_tech_trends": lambda: A.subreddit_tech_trends(posts, analysis, subreddits),
+        "sentiment_popularity": lambda: A.sentiment_popularity_corr(A.sentiment_popularity_monthly(posts, analysis)),
+        "tech_trends_weekly": lambda: A.tech_trends_by_time(posts, analysis, "week"),
+        "tech_trends_monthly": lambda: A.tech_trends_by_time(posts, analysis, "month"),
+    }
+
+
+def run_pipeline(
+    posts: DataFrame, analysis: DataFrame, subreddits: DataFrame, out: str, as_of: str | datetime.date
+) -> Run:
+    """Write every analysis below `out`, a new folder. An error in one is kept and does not stop the others."""
+    spark = posts.sparkSession
+    run = Run()
+
+    def stored_trends() -> DataFrame:
+        return spark.read.parquet(run.tables["weekly_tech_trends"])
+
+    for name, plan in analyses(posts, analysis, subreddits, stored_trends, as_of).items():
+        path = f"{out.rstrip('/')}/{name}"
+        try:
+            plan().write.parquet(path)
+            run.tables[name] = path
+        except Exception as error:  # one failed analysis must not take the others with it
+            log.exception("analysis %s failed", name)
+            run.errors[name] = error
+    return run
