@@ -124,4 +124,5 @@ def fuzzy_mentions(
     def mentions(batch: pd.Series) -> pd.Series:
         return pd.Series([sorted({names[i] for i in hits}) for hits in best_terms(batch, keys, cutoff, limit)])
 
-    return mentions(F.lower(text))
+    # Declared non-deterministic so that the optimizer does not run it a second time inside a pushed-down filter.
+    return mentions.asNondeterministic()(F.lower(text))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from threadloom.functions.binding import let
 from threadloom.functions.lookup import lookup_tokens
 from threadloom.functions.text import clean_for_sentiment
 
@@ -94,45 +95,43 @@ def _is_upper(word: Column) -> Column:
     return (word == F.upper(word)) & (word != F.lower(word))
 
 
-def _nested_ifs(base: Column, branches: list[tuple[Column, Column]]) -> Column:
-    out = base
-    for condition, value in reversed(branches):
-        out = F.when(condition, value).otherwise(out)
-    return out
-
-
 def _word_score(words: Column, found: Column, i: Column, mixed_case: Column) -> Column:
     """Valence of the word at position i after capitals, boosters and negations in front of it."""
-    word = F.get(words, i)
-    valence = F.get(found, i)["valence"]
-    sign = F.when(valence > 0, 1.0).otherwise(-1.0)
-    score = valence + F.when(mixed_case & _is_upper(word), sign * CAPITALS_STEP).otherwise(0.0)
 
     def lower_at(distance: int) -> Column:
         return F.lower(F.get(words, i - distance))
 
-    def so_or_this(distance: int) -> Column:
-        return lower_at(distance).isin("so", "this")
+    def capital_step(distance: int, score: Column) -> Column:
+        step = F.when(score > 0, CAPITALS_STEP).otherwise(-CAPITALS_STEP)
+        return F.when(mixed_case & _is_upper(F.get(words, i - distance)), step).otherwise(0.0)
 
-    for distance, damping in enumerate(DISTANCE_DAMPING, 1):
+    def after_modifier(distance: int, damping: float, score: Column) -> Column:
+        """The score once the word at this distance has had its effect."""
         before = F.get(found, i - distance)
         # A word in front counts as a modifier only when it has no valence of its own.
-        present = (i >= distance) & before["valence"].isNull()
-        side = F.when(score > 0, 1.0).otherwise(-1.0)
-        capital = F.when(mixed_case & _is_upper(F.get(words, i - distance)), side * CAPITALS_STEP).otherwise(0.0)
-        boosted = F.when(score < 0, -before["booster"]).otherwise(before["booster"]) + capital
-        boost = F.when(present, boosted * damping)
-        shifted = score + F.coalesce(boost, F.lit(0.0))
-        branches = []
-        if distance in NEVER_SO:
-            so = so_or_this(1) if distance == 2 else so_or_this(2) | so_or_this(1)
-            branches.append((present & (lower_at(distance) == "never") & so, shifted * NEVER_SO[distance]))
-        branches.append((present & F.coalesce(before["negation"], F.lit(False)), shifted * NEGATION_FACTOR))
-        score = _nested_ifs(shifted, branches)
+        free = (i >= distance) & before["valence"].isNull()
+        step = F.when(score < 0, -before["booster"]).otherwise(before["booster"])
+        boost = F.when(free, (step + capital_step(distance, score)) * damping)
+
+        def negate(shifted: Column) -> Column:
+            negated = F.when(free & F.coalesce(before["negation"], F.lit(False)), shifted * NEGATION_FACTOR)
+            if distance in NEVER_SO:
+                between = F.array(*[lower_at(d) for d in range(1, distance)])
+                so = F.arrays_overlap(between, F.array(F.lit("so"), F.lit("this")))
+                never = F.coalesce(free & (lower_at(distance) == "never") & so, F.lit(False))
+                return F.when(never, shifted * NEVER_SO[distance]).otherwise(negated.otherwise(shifted))
+            return negated.otherwise(shifted)
+
+        return let(score + F.coalesce(boost, F.lit(0.0)), negate)
+
+    valence = F.get(found, i)["valence"]
+    score = valence + capital_step(0, valence)
+    for distance, damping in enumerate(DISTANCE_DAMPING, 1):
+        score = let(score, lambda s, d=distance, k=damping: after_modifier(d, k, s))
 
     least = (i >= 1) & (lower_at(1) == "least") & F.get(found, i - 1)["valence"].isNull()
     allowed = ~F.coalesce(lower_at(2).isin("at", "very"), F.lit(False))
-    return F.when(least & allowed, score * NEGATION_FACTOR).otherwise(score)
+    return score * F.when(least & allowed, NEGATION_FACTOR).otherwise(1.0)
 
 
 def _sum(values: Column) -> Column:
@@ -143,66 +142,100 @@ def _count(words: Column, test) -> Column:
     return F.size(F.filter(words, test))
 
 
-def score_words(df: DataFrame, clean: str, words: str, found: str) -> DataFrame:
-    """Add compound, pos, neg, neu, polarity and subjectivity; the input columns stay.
-
-    A word that is itself a booster scores 0, as does one without valence; 'but' halves what stands before it and
-    raises what comes after by half.
-    """
-    w, f = F.col(words), F.col(found)
-    upper = _count(w, _is_upper)
-    scored = df.withColumn("_mixed", (upper > 0) & (upper < F.size(w)))
-    but = F.array_position(F.transform(w, lambda x: F.lower(x)), "but").cast("int") - 1
-    scored = scored.withColumn("_but", but)
-    b = F.col("_but")
-    positions = F.filter(
-        F.transform(f, lambda cell, i: F.when(cell["valence"].isNotNull() & cell["booster"].isNull(), i)),
-        lambda i: i.isNotNull(),
+def _word_scores(words: Column, found: Column) -> Column:
+    """Scores of the words that have one. 'but' halves what stands before it and raises what comes after by half."""
+    upper = _count(words, _is_upper)
+    bound = F.struct(
+        words.alias("words"),
+        found.alias("found"),
+        ((upper > 0) & (upper < F.size(words))).alias("mixed"),
+        (F.array_position(F.transform(words, lambda x: F.lower(x)), "but").cast("int") - 1).alias("but"),
     )
-    scored = scored.withColumn("_at", positions)
-
-    def weighted(i: Column) -> Column:
-        score = _word_score(w, f, i, F.col("_mixed"))
-        return score * F.when((b >= 0) & (i < b), BUT_BEFORE).when((b >= 0) & (i > b), BUT_AFTER).otherwise(1.0)
-
-    scored = scored.withColumn("_scores", F.transform("_at", weighted))
-    exclamations = F.least(F.length(clean) - F.length(F.replace(F.col(clean), F.lit("!"), F.lit(""))), F.lit(4))
-    questions = F.length(clean) - F.length(F.replace(F.col(clean), F.lit("?"), F.lit("")))
-    scored = scored.withColumn(
-        "_emphasis",
-        exclamations * EXCLAMATION_STEP
-        + F.when(questions <= 1, 0.0).when(questions <= QUESTION_MAX, questions * QUESTION_STEP).otherwise(QUESTION_MANY),
-    ).withColumn("_sum", _sum(F.col("_scores")))
-    e, s = F.col("_emphasis"), F.col("_sum")
-    total = F.when(s > 0, s + e).when(s < 0, s - e).otherwise(s)
-    pos = _sum(F.transform("_scores", lambda x: F.when(x > 0, x + 1).otherwise(0.0)))
-    neg = _sum(F.transform("_scores", lambda x: F.when(x < 0, 1 - x).otherwise(0.0)))
-    scored = scored.withColumn("_total", total).withColumn("_pos", pos).withColumn("_neg", neg)
-    n_pos = _count(F.col("_scores"), lambda x: x > 0)
-    n_neg = _count(F.col("_scores"), lambda x: x < 0)
-    # Words without a score, or with a score of zero, are neutral.
-    scored = scored.withColumn("_neu", F.greatest(F.size(w), F.lit(0)) - n_pos - n_neg)
-    p, n = F.col("_pos"), F.col("_neg")
-    scored = scored.withColumn("_pos_e", p + F.when(p > n, e).otherwise(0.0)).withColumn(
-        "_neg_e", n + F.when(n > p, e).otherwise(0.0)
+
+    def scores(v: Column) -> Column:
+        # A word that is itself a booster has no score of its own.
+        positions = F.filter(
+            F.transform(
+                v["found"], lambda cell, i: F.when(cell["valence"].isNotNull() & cell["booster"].isNull(), i)
+            ),
+            lambda i: i.isNotNull(),
+        )
+        but = v["but"]
+
+        def weighted(i: Column) -> Column:
+            weight = F.when((but >= 0) & (i < but), BUT_BEFORE).when((but >= 0) & (i > but), BUT_AFTER).otherwise(1.0)
+            return _word_score(v["words"], v["found"], i, v["mixed"]) * weight
+
+        return F.transform(positions, weighted)
+
+    return let(bound, scores)
+
+
+def _occurrences(text: Column, mark: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
+
+def _emphasis(clean: Column) -> Column:
+    questions = _occurrences(clean, "?")
+    asked = F.when(questions <= 1, 0.0).when(questions <= QUESTION_MAX, questions * QUESTION_STEP)
+    return F.least(_occurrences(clean, "!"), F.lit(EXCLAMATION_MAX)) * EXCLAMATION_STEP + asked.otherwise(QUESTION_MANY)
+
+
+def _shares(v: Column) -> Column:
+    """Struct of compound, pos, neg and neu from the sums in v."""
+    s, e, p, n = v["sum"], v["emphasis"], v["pos"], v["neg"]
+    parts = F.struct(
+        F.when(s > 0, s + e).when(s < 0, s - e).otherwise(s).alias("total"),
+        (p + F.when(p > n, e).otherwise(0.0)).alias("pos"),
+        (n + F.when(n > p, e).otherwise(0.0)).alias("neg"),
+        v["neu"].alias("neu"),
+        v["empty"].alias("empty"),
     )
-    parts = F.col("_pos_e") + F.col("_neg_e") + F.col("_neu")
-    share = lambda part: F.coalesce(F.round(F.try_divide(part, parts), 3), F.lit(0.0))
-    t = F.col("_total")
+
+    def finish(x: Column) -> Column:
+        whole = x["pos"] + x["neg"] + x["neu"]
+        share = lambda part: F.coalesce(F.round(F.try_divide(part, whole), 3), F.lit(0.0))
+        t = x["total"]
+        return F.struct(
+            F.when(x["empty"], 0.0).otherwise(F.round(t / F.sqrt(t * t + NORMALISER), 4)).alias("compound"),
+            share(x["pos"]).alias("pos"),
+            share(x["neg"]).alias("neg"),
+            F.when(x["empty"], 1.0).otherwise(share(x["neu"])).alias("neu"),
+        )
+
+    return let(parts, finish)
+
+
+def score_words(df: DataFrame, clean: str, words: str, found: str) -> DataFrame:
+    """Add compound, pos, neg, neu, polarity and subjectivity; the input columns stay."""
+    text, w, f = F.col(clean), F.col(words), F.col(found)
+
+    def sums(scores: Column) -> Column:
+        # Words without a score, or with a score of zero, are neutral.
+        neutral = F.size(w) - _count(scores, lambda x: x != 0)
+        return F.struct(
+            _sum(scores).alias("sum"),
+            _sum(F.transform(scores, lambda x: F.when(x > 0, x + 1).otherwise(0.0))).alias("pos"),
+            _sum(F.transform(scores, lambda x: F.when(x < 0, 1 - x).otherwise(0.0))).alias("neg"),
+            neutral.alias("neu"),
+            _emphasis(text).alias("emphasis"),
+            (text == "").alias("empty"),
+        )
+
     known = F.filter(f, lambda cell: cell["polarity"].isNotNull())
-    mean = lambda name: F.coalesce(
-        F.try_divide(_sum(F.transform(known, lambda cell: cell[name])), F.size(known)), F.lit(0.0)
+    mean = lambda cells, name: F.coalesce(
+        F.try_divide(_sum(F.transform(cells, lambda cell: cell[name])), F.size(cells)), F.lit(0.0)
     )
-    is_empty = F.col(clean) == ""
-    return scored.select(
-        *df.columns,
-        F.when(is_empty, 0.0).otherwise(F.round(t / F.sqrt(t * t + NORMALISER), 4)).alias("compound"),
-        share(F.col("_pos_e")).alias("pos"),
-        share(F.col("_neg_e")).alias("neg"),
-        F.when(is_empty, 1.0).otherwise(share(F.col("_neu"))).alias("neu"),
-        mean("polarity").alias("polarity"),
-        mean("subjectivity").alias("subjectivity"),
+    rated = let(
+        known,
+        lambda cells: F.struct(
+            mean(cells, "polarity").alias("polarity"), mean(cells, "subjectivity").alias("subjectivity")
+        ),
+    )
+    scored = df.select(
+        "*", let(let(_word_scores(w, f), sums), _shares).alias("_scored"), rated.alias("_rated")
     )
+    return scored.select(*df.columns, "_scored.*", "_rated.*")
 
 
 def ensemble(compound: Column, polarity: Column) -> Column:

@@ -42,7 +42,8 @@ def _apply_small(df, tokens: str, rows: pa.Table, term: str, schema: StructType,
         offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(lengths).cast(pa.int32())])
         return pa.ListArray.from_arrays(offsets, found, mask=pc.is_null(batch))
 
-    return df.withColumn(out, apply(tokens))
+    # Declared non-deterministic so that filters are not pushed below it with a second copy of the lookup.
+    return df.withColumn(out, apply.asNondeterministic()(tokens))
 
 
 def _apply_joined(df, key: str, tokens: str, table: DataFrame, term: str, values: list[str], out: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from threadloom.functions.binding import let
+
 # English stop words without apostrophes and longer than two letters (shorter tokens are dropped).
 STOP_WORDS = """
 myself our ours ourselves you your yours yourself yourselves him his himself she her hers herself its itself they
@@ -53,11 +55,14 @@ def tokenise(clean: Column, stop_words: list[str] | None = None) -> Column:
 
 def ngrams(tokens: Column, n: int = 2) -> Column:
     """Every run of n tokens joined by a space; empty when there are fewer than n."""
-    starts = F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
-    return F.transform(
-        starts,
-        lambda first, i: F.concat_ws(" ", first, *[F.get(tokens, i + k) for k in range(1, n)]),
-    )
+
+    def runs(words: Column) -> Column:
+        starts = F.slice(words, F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(0)))
+        return F.transform(
+            starts, lambda first, i: F.concat_ws(" ", first, *[F.get(words, i + k) for k in range(1, n)])
+        )
+
+    return let(tokens, runs)
 
 
 def top_counted(terms: Column, k: int = 10) -> Column:
@@ -68,37 +73,24 @@ def top_counted(terms: Column, k: int = 10) -> Column:
     """
     placed = F.sort_array(F.transform(terms, lambda term, i: F.struct(term.alias("term"), i.alias("pos"))))
 
-    def ranked(runs: Column) -> Column:
-        starts = F.filter(
-            F.transform(
-                runs,
-                lambda cell, i: F.when((i == 0) | (F.get(runs, i - 1)["term"] != cell["term"]), i),
-            ),
-            lambda i: i.isNotNull(),
+    def run_starts(cells: Column) -> Column:
+        marked = F.transform(
+            cells, lambda cell, i: F.when((i == 0) | (F.get(cells, i - 1)["term"] != cell["term"]), i)
         )
-        return F.transform(
-            F.array(starts),
-            lambda s: F.transform(
-                F.slice(
-                    F.sort_array(
-                        F.transform(
-                            s,
-                            lambda at, j: F.struct(
-                                (at - F.coalesce(F.get(s, j + 1), F.size(runs))).alias("minus_count"),
-                                F.get(runs, at)["pos"].alias("pos"),
-                                F.get(runs, at)["term"].alias("term"),
-                            ),
-                        )
-                    ),
-                    1,
-                    k,
-                ),
-                lambda cell: cell["term"],
+        return F.filter(marked, lambda i: i.isNotNull())
+
+    def ranked(cells: Column, starts: Column) -> Column:
+        counted = F.transform(
+            starts,
+            lambda at, j: F.struct(
+                (at - F.coalesce(F.get(starts, j + 1), F.size(cells))).alias("minus_count"),
+                F.get(cells, at)["pos"].alias("pos"),
+                F.get(cells, at)["term"].alias("term"),
             ),
         )
+        return F.transform(F.slice(F.sort_array(counted), 1, k), lambda cell: cell["term"])
 
-    # The one-element array binds the sorted runs to a name, so they are computed once per row.
-    return F.flatten(F.flatten(F.transform(F.array(placed), ranked)))
+    return let(placed, lambda cells: let(run_starts(cells), lambda starts: ranked(cells, starts)))
 
 
 def is_question(title: Column) -> Column:
@@ -109,15 +101,17 @@ def null_if_empty(items: Column) -> Column:
     return F.when(F.size(items) > 0, items)
 
 
-def exact_mentions(low: Column, terms: list[tuple[str, str]]) -> Column:
-    """Distinct canonical names, sorted, whose term occurs in a text that is already lower-cased.
+def exact_mentions(text: Column, terms: list[tuple[str, str]]) -> Column:
+    """Distinct canonical names, sorted, whose term occurs in the lower-cased text.
 
     `terms` is a dictionary of (lower-cased term, name) pairs that has passed a size check.
     """
-    found = [F.when(F.contains(low, F.lit(term)), F.lit(name)) for term, name in terms]
-    if not found:
+    if not terms:
         return F.array().cast("array<string>")
-    return F.sort_array(F.array_distinct(F.array_compact(F.array(*found))))
+    found = let(
+        F.lower(text), lambda low: F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(n)) for t, n in terms])
+    )
+    return F.sort_array(F.array_distinct(F.array_compact(found)))
 
 
 def quote_pattern(term: str) -> str:
@@ -148,8 +142,10 @@ def sentences(text: Column) -> Column:
 
 def context_of(text: Column, name: Column) -> Column:
     """The sentences that contain the name, whatever its case, joined by a space; '' when there is none."""
-    needle = F.lower(name)
-    return F.array_join(F.filter(sentences(text), lambda s: F.contains(F.lower(s), needle)), " ")
+    kept = let(
+        F.lower(name), lambda needle: F.filter(sentences(text), lambda s: F.contains(F.lower(s), needle))
+    )
+    return F.array_join(kept, " ")
 
 
 def polarity_class(score: Column) -> Column:

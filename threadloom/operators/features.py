@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from threadloom.functions.binding import let
 from threadloom.functions.fuzzy import fuzzy_mentions
 from threadloom.functions.lexicon import score_text
 from threadloom.functions.lookup import lookup_tokens
 from threadloom.functions import text as X
 from threadloom.operators.merge import merge_columns
+from threadloom.sizing import spread
 
 FEATURES = ["word_count", "unique_words", "tech_mentioned", "skills_mentioned", "is_question", "topics"]
 
@@ -33,12 +35,12 @@ def _topics(tokens: Column) -> Column:
 
 def doc_topics(rows: DataFrame, k: int = 10) -> DataFrame:
     """Add `topics`: the k most frequent runs of two or three tokens; ties to the earlier, pairs before triples."""
-    return rows.withColumn("topics", X.top_counted(_topics(F.col("tokens")), k))
+    return rows.withColumn("topics", let(F.col("tokens"), lambda t: X.top_counted(_topics(t), k)))
 
 
 def doc_top_terms(rows: DataFrame, k: int = 10) -> DataFrame:
-    tokens = F.col("tokens")
-    return rows.withColumn("top_terms", X.top_counted(F.concat(tokens, _topics(tokens)), k))
+    top = let(F.col("tokens"), lambda t: X.top_counted(F.concat(t, _topics(t)), k))
+    return rows.withColumn("top_terms", top)
 
 
 def pending_keyword_posts(posts: DataFrame, analysis: DataFrame, limit: int | None = None) -> DataFrame:
@@ -68,7 +70,7 @@ def keyword_features(
     fuzzy_limit: int | None = 5,
 ) -> DataFrame:
     """post_id and FEATURES of each post; empty arrays become NULL. For one post, filter the posts."""
-    full = posts.select("post_id", "title", X.full_text(F.col("title"), F.col("text")).alias("full_text"))
+    full = spread(posts).select("post_id", "title", X.full_text(F.col("title"), F.col("text")).alias("full_text"))
     rows = doc_topics(with_tokens(full, "post_id", "full_text", lemmas))
     return rows.select(
         "post_id",
@@ -82,13 +84,13 @@ def keyword_features(
 
 
 def post_sentiment(posts: DataFrame, scoring: DataFrame, single_words: list[str] | None = None) -> DataFrame:
-    full = posts.select("post_id", X.full_text(F.col("title"), F.col("text")).alias("full_text"))
+    full = spread(posts).select("post_id", X.full_text(F.col("title"), F.col("text")).alias("full_text"))
     scored = score_text(full, "post_id", "full_text", scoring, single_words)
     return scored.select("post_id", F.col("ensemble_score").alias("sentiment_score"))
 
 
 def comment_sentiment(comments: DataFrame, scoring: DataFrame, single_words: list[str] | None = None) -> DataFrame:
-    scored = score_text(comments.select("comment_id", "body"), "comment_id", "body", scoring, single_words)
+    scored = score_text(spread(comments).select("comment_id", "body"), "comment_id", "body", scoring, single_words)
     return scored.select("comment_id", F.col("ensemble_score").alias("sentiment_score"))
 
 

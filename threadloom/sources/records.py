@@ -44,8 +44,10 @@ def dead_letters(records: DataFrame) -> DataFrame:
 
 
 def sink_raw_json(records: DataFrame, path: str) -> None:
-    """Land records as JSON, a folder per subreddit."""
-    records.write.mode("append").partitionBy("subreddit").json(path)
+    """Land whole records as JSON, a folder per subreddit. Rebalancing splits a hot subreddit over several files and
+    gathers rare ones, so neither one task nor a cloud of small files results."""
+    balanced = records.withColumn("folder", F.col("subreddit")).hint("rebalance", "folder")
+    balanced.write.mode("append").partitionBy("folder").json(path)
 
 
 def keyed_json(records: DataFrame, key: str = "id") -> DataFrame:

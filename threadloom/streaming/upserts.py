@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructType, TimestampType
 
 from threadloom.operators.merge import (
     COMMENT_UPDATES,
@@ -23,16 +23,16 @@ from threadloom.operators.merge import (
     upsert_partial,
 )
 from threadloom.operators.normalise import comment_rows, known_authors, post_rows
-from threadloom.schemas import COMMENT_RECORD, POST_RECORD
+from threadloom.schemas import COMMENT_RECORD, POST_RECORD, struct
 from threadloom.sources.records import dead_letters, decode_messages, well_formed
 
 POSTS_TOPIC, COMMENTS_TOPIC = "reddit-posts", "reddit-comments"
-DIMENSION = StructType.fromDDL("subreddit_id int, name string")
+DIMENSION = struct("subreddit_id int, name string")
 
 
 def read_changes(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """All change rows with their batch_id; none when nothing was written yet."""
-    spec = StructType(list(schema)).add("batch_id", "bigint")
+    spec = StructType(list(schema)).add("batch_id", LongType())
     try:
         return spark.read.schema(spec).parquet(path)
     except AnalysisException as error:
@@ -60,12 +60,12 @@ def compact(changes: DataFrame, path: str, keys: list[str], updates: list[str])
 
 def _post_changes(spark: SparkSession) -> StructType:
     rows = post_rows(spark.createDataFrame([], POST_RECORD)).drop("subreddit")
-    return StructType(list(rows.schema)).add("subreddit_id", "int").add("received", "timestamp")
+    return StructType(list(rows.schema)).add("subreddit_id", IntegerType()).add("received", TimestampType())
 
 
 def _comment_changes(spark: SparkSession) -> StructType:
     return StructType(list(comment_rows(spark.createDataFrame([], COMMENT_RECORD)).schema)).add(
-        "received", "timestamp"
+        "received", TimestampType()
     )
 
 
