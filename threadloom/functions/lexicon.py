@@ -6,6 +6,8 @@ term has no such role). `lookup_tokens` brings these to the tokens and everythin
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threadloom.functions.binding import let
@@ -105,8 +107,11 @@ def _word_score(words: Column, found: Column, i: Column, mixed_case: Column) ->
         step = F.when(score > 0, CAPITALS_STEP).otherwise(-CAPITALS_STEP)
         return F.when(mixed_case & _is_upper(F.get(words, i - distance)), step).otherwise(0.0)
 
+    def effect(distance: int, damping: float) -> Callable[[Column], Column]:
+        """Score before to score after the word at this distance has had its effect."""
+        return lambda score: after_modifier(distance, damping, score)
+
     def after_modifier(distance: int, damping: float, score: Column) -> Column:
-        """The score once the word at this distance has had its effect."""
         before = F.get(found, i - distance)
         # A word in front counts as a modifier only when it has no valence of its own.
         free = (i >= distance) & before["valence"].isNull()
@@ -127,7 +132,7 @@ def _word_score(words: Column, found: Column, i: Column, mixed_case: Column) ->
     valence = F.get(found, i)["valence"]
     score = valence + capital_step(0, valence)
     for distance, damping in enumerate(DISTANCE_DAMPING, 1):
-        score = let(score, lambda s, d=distance, k=damping: after_modifier(d, k, s))
+        score = let(score, effect(distance, damping))
 
     least = (i >= 1) & (lower_at(1) == "least") & F.get(found, i - 1)["valence"].isNull()
     allowed = ~F.coalesce(lower_at(2).isin("at", "very"), F.lit(False))
