@@ -12,7 +12,7 @@ from checks.sql import (
 from threadloom.functions import fuzzy, lexicon as L, text as X
 from threadloom.operators import features as F1, sentiment as S
 from threadloom.operators.merge import merge_columns
-from threadloom.sizing import spread
+from threadloom.sizing import cut_lineage, spread
 from threadloom.sources import dictionaries as D
 
 
@@ -448,7 +448,7 @@ SELECT tech_name, post_count, positive_count, negative_count, neutral_count, {r6
 
 
 def tech_sentiment_thirds(spark, sf):
-    scored_rows = _mention_sentiments(spark, sf).drop("context").persist()
+    scored_rows = cut_lineage(_mention_sentiments(spark, sf).drop("context"), "mention-sentiments")
     rows = S.tech_sentiment_thirds(scored_rows)
     return rows.select("tech_name", *[A.rounded(c).alias(c) for c in ("early", "mid", "recent")])
 
@@ -499,9 +499,9 @@ def compare_tech_sentiment(spark, sf):
 
 
 _NAMED = values(list(enumerate(COMPARED)), "position, tech_name")
-COMPARE = f"""WITH {TEXT_MENTIONS}, {_SUMMARY}, named AS (SELECT * FROM summary JOIN {_NAMED} n USING (tech_name))
+COMPARE = f"""WITH {TEXT_MENTIONS}, {_SUMMARY}, compared AS (SELECT * FROM summary JOIN {_NAMED} n USING (tech_name))
 SELECT a.tech_name AS tech_name_1, b.tech_name AS tech_name_2, {r6('a.avg_sentiment - b.avg_sentiment')} AS difference
-FROM named a JOIN named b ON a.position < b.position"""
+FROM compared a JOIN compared b ON a.position < b.position"""
 
 
 def sentiment_ranking(spark, sf):

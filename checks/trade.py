@@ -451,7 +451,7 @@ def question_topics(spark, sf):
 QUESTION_TOPICS = f"""WITH {TOPIC_CTE} SELECT topic, count(*) AS post_count FROM topics JOIN posts USING (post_id)
 WHERE is_question GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20"""
 
-TOPIC = "hehely ononst"
+TOPIC = "anea eriner"
 
 
 def topic_details(spark, sf):
