@@ -95,20 +95,20 @@ NGRAMS = f"""WITH {TOKENS} SELECT post_id, md5(array_to_string({grams('t', 2)},
 
 
 def doc_topics(spark, sf):
-    return F1.doc_topics(_tokens(spark, sf)).where(F.size("topics") > 0).select("post_id", A.joined("topics").alias("topics"))
+    return F1.doc_topics(_tokens(spark, sf)).select("post_id", A.joined("topics").alias("topics"))
 
 
 DOC_TOPICS = f"""WITH {TOKENS}, g AS (SELECT post_id, {grams('t', 2)} || {grams('t', 3)} AS items FROM tokens)
-SELECT post_id, top AS topics FROM ({top_counted('g', 'post_id', 'items')})"""
+SELECT g.post_id, coalesce(top, '') AS topics FROM g LEFT JOIN ({top_counted('g', 'post_id', 'items')}) USING (post_id)"""
 
 
 def doc_top_terms(spark, sf):
-    rows = F1.doc_top_terms(_tokens(spark, sf)).where(F.size("top_terms") > 0)
+    rows = F1.doc_top_terms(_tokens(spark, sf))
     return rows.select("post_id", A.joined("top_terms").alias("top_terms"))
 
 
 TOP_TERMS = f"""WITH {TOKENS}, g AS (SELECT post_id, t || {grams('t', 2)} || {grams('t', 3)} AS items FROM tokens)
-SELECT post_id, top AS top_terms FROM ({top_counted('g', 'post_id', 'items')})"""
+SELECT g.post_id, coalesce(top, '') AS top_terms FROM g LEFT JOIN ({top_counted('g', 'post_id', 'items')}) USING (post_id)"""
 
 
 def is_question(spark, sf):

@@ -421,8 +421,9 @@ def _topic_inputs(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents with their topics; those of clicked events count as questions."""
     rows = A.text_posts(spark, sf)
     full = spread(rows).select("post_id", "text", F.coalesce(F.col("permalink") == "", F.lit(False)).alias("is_question"))
-    topics = F1.doc_topics(F1.with_tokens(full, "post_id", "text"))
-    return rows, topics.select("post_id", "topics", "is_question"), A.text_subreddits(spark, sf)
+    topics = F1.doc_topics(F1.with_tokens(full, "post_id", "text")).select("post_id", "topics", "is_question")
+    # The reports read the stored analysis table.
+    return rows, cut_lineage(topics, "post_analysis"), A.text_subreddits(spark, sf)
 
 
 TOPIC_CTE = f"""{TEXT_RECORDS}, {TEXT_SUBREDDITS},

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, functions as F
 
 GAP = 0x110000  # above every code point: the filler between texts matches nothing
-CHUNK = 2_000_000  # code points scored together; whole texts, as many as fit
+CHUNK = 200_000  # code points scored together: whole texts, as many as fit, and a single longer one by itself
 
 
 def common_length(a: str, b: str) -> int:
@@ -61,17 +61,23 @@ def _score_chunk(texts: list[str], terms: list[str], cutoff: float) -> np.ndarra
     flat = np.concatenate(parts)
     lengths = np.array(list(map(len, texts)))
     letters_end = np.cumsum(lengths + longest)
-    letters_before = np.concatenate([np.zeros(1, np.int32), np.cumsum(flat != GAP, dtype=np.int32)])
-    codes, inverse = np.unique(flat, return_inverse=True)
-    inverse = inverse.astype(np.int32)
+
+    def counted(hits: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.zeros(1, np.int32), np.cumsum(hits, dtype=np.int32)])
+
+    letters_before = counted(flat != GAP)
+    seen = {c: counted(flat == ord(c)) for c in sorted(set("".join(terms)))}
     scores = np.zeros((len(texts), len(terms)))
     for t, term in enumerate(terms):
         size = len(term)
         letters = np.array([ord(c) for c in term], dtype=np.uint32)
         window_size = letters_before[size:] - letters_before[:-size]
-        # A window cannot share more letters with the term than it has letters from the term's alphabet.
-        shared = np.concatenate([np.zeros(1, np.int32), np.cumsum(np.isin(codes, letters)[inverse], dtype=np.int32)])
-        enough = 200.0 * (shared[size:] - shared[:-size]) >= cutoff * (size + window_size)
+        # A common subsequence has no more of a letter than either side has; most windows fail on that alone.
+        shared = np.zeros(len(window_size), dtype=np.int32)
+        for letter in set(term):
+            before = seen[letter]
+            shared += np.minimum(before[size:] - before[:-size], term.count(letter))
+        enough = 200.0 * shared >= cutoff * (size + window_size)
         at = np.flatnonzero(enough & (window_size > 0))
         if len(at):
             windows = np.lib.stride_tricks.sliding_window_view(flat, size)[at]

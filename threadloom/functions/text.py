@@ -98,7 +98,7 @@ def is_question(title: Column) -> Column:
 
 
 def null_if_empty(items: Column) -> Column:
-    return F.when(F.size(items) > 0, items)
+    return let(items, lambda x: F.when(F.size(x) > 0, x))
 
 
 def exact_mentions(text: Column, terms: list[tuple[str, str]]) -> Column:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
+from threadloom.functions.binding import let
 from threadloom.sizing import cut_lineage
 
 DELETED = "[deleted]"
@@ -109,41 +110,63 @@ def feed_cap(records: DataFrame, per_feed: int) -> DataFrame:
     return kept.withColumn("_rank", F.row_number().over(feed)).where(F.col("_rank") <= per_feed).drop("_rank")
 
 
-def flatten_replies(trees: DataFrame, fields: StructType, max_depth: int = 1000, cut_every: int = 8) -> DataFrame:
-    """Comment trees to flat rows, top-level comments first.
+def _tree_type(fields: StructType, levels: int) -> ArrayType:
+    """Comments with their replies parsed `levels` deep; deeper replies stay JSON text."""
+    replies = StringType() if levels == 1 else _tree_type(fields, levels - 1)
+    return ArrayType(StructType([*fields.fields, StructField("replies", replies)]))
 
-    `trees` has post_id and `comments`, the JSON array of top-level comments; a comment has `fields` and an optional
-    JSON array `replies`. A reply's parent_id is the enclosing comment's id, a top-level comment keeps its own.
-    Levels are taken one by one until one is empty; lineage is cut by writing every `cut_every`-th level. Deeper
-    trees than max_depth raise an error instead of losing rows.
+
+def flatten_replies(
+    trees: DataFrame, fields: StructType, levels_at_once: int = 4, max_depth: int = 1000
+) -> DataFrame:
+    """Comment trees to flat rows.
+
+    `trees` has post_id and `comments`, the JSON array of top-level comments; a comment has `fields` (with id and
+    parent_id) and an optional array `replies`. A reply's parent_id is the enclosing comment's id, a top-level
+    comment keeps its own. Each round parses the JSON once and takes several levels inside the row; what lies deeper
+    is the input of the next round, stored so that no round repeats an earlier one. Trees deeper than max_depth raise
+    an error instead of losing rows.
     """
-    node = F.col("node")
-    pieces = []
-    level = trees.select(
-        "post_id",
-        F.lit(None).cast("string").alias("parent"),
-        F.explode(F.from_json("comments", "array<string>")).alias("node"),
-    )
-    spec = StructType(list(fields)).add("replies", "string")
-    for depth in range(max_depth):
-        parsed = level.withColumn("node", F.from_json(node, spec))
-        if depth % cut_every == cut_every - 1:
-            parsed = cut_lineage(parsed, "replies")
-        pieces.append(
-            parsed.select(
-                "post_id",
-                F.coalesce("parent", "node.parent_id").alias("parent_id"),
-                *[F.col(f"node.{f.name}").alias(f.name) for f in fields if f.name != "parent_id"],
-            )
+    names = [f.name for f in fields if f.name != "parent_id"]
+    own = lambda node: [node[name].alias(name) for name in names]
+
+    def below(node: Column) -> Column:
+        return F.transform(
+            node["replies"],
+            lambda r: F.struct(node["id"].alias("parent_id"), *own(r), r["replies"].alias("replies")),
         )
-        level = parsed.select(
-            "post_id",
-            F.col("node.id").alias("parent"),
-            F.explode(F.from_json("node.replies", "array<string>")).alias("node"),
+
+    def flat_levels(roots: Column) -> Column:
+        """Struct of all nodes found in this round and of the deeper JSON with its parents."""
+
+        def collect(level: Column, found: Column, left: int) -> Column:
+            here = F.transform(level, lambda n: F.struct(n["parent_id"].alias("parent_id"), *own(n)))
+            found = here if found is None else F.concat(found, here)
+            if left == 1:
+                deeper = F.filter(level, lambda n: n["replies"].isNotNull())
+                rest = F.transform(
+                    deeper, lambda n: F.struct(n["id"].alias("parent"), n["replies"].alias("comments"))
+                )
+                return F.struct(found.alias("nodes"), rest.alias("rest"))
+            children = F.filter(F.transform(level, below), lambda c: c.isNotNull())
+            return let(F.flatten(children), lambda next_level: collect(next_level, found, left - 1))
+
+        return let(roots, lambda level: collect(level, None, levels_at_once))
+
+    spec = _tree_type(fields, levels_at_once)
+    pending = trees.select("post_id", F.lit(None).cast("string").alias("parent"), "comments")
+    pieces = None
+    for _ in range(0, max_depth, levels_at_once):
+        roots = F.transform(
+            F.from_json("comments", spec),
+            lambda n: F.struct(
+                F.coalesce("parent", n["parent_id"]).alias("parent_id"), *own(n), n["replies"].alias("replies")
+            ),
         )
-        if level.isEmpty():
-            out = pieces[0]
-            for piece in pieces[1:]:
-                out = out.unionByName(piece)
-            return out
+        stored = cut_lineage(pending.select("post_id", flat_levels(roots).alias("found")), "replies")
+        piece = stored.select("post_id", F.explode("found.nodes").alias("node")).select("post_id", "node.*")
+        pieces = piece if pieces is None else pieces.unionByName(piece)
+        pending = stored.select("post_id", F.explode("found.rest").alias("rest")).select("post_id", "rest.*")
+        if pending.isEmpty():
+            return pieces
     raise ValueError(f"reply trees are deeper than {max_depth} levels")
