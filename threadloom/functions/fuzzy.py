@@ -77,8 +77,8 @@ def _score_chunk(texts: list[str], terms: list[str], cutoff: float) -> np.ndarra
         for letter in set(term):
             before = seen[letter]
             shared += np.minimum(before[size:] - before[:-size], term.count(letter))
-        enough = 200.0 * shared >= cutoff * (size + window_size)
-        at = np.flatnonzero(enough & (window_size > 0))
+        needed = np.ceil(cutoff * (size + np.arange(size + 1)) / 200.0 - 1e-9).astype(np.int32)
+        at = np.flatnonzero(shared >= needed[window_size])
         if len(at):
             windows = np.lib.stride_tricks.sliding_window_view(flat, size)[at]
             found = 200.0 * _common_with_windows(letters, windows) / (size + window_size[at])

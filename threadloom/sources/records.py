@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructType
 
 from threadloom.schemas import COMMENT_RECORD, POST_RECORD
 
 CORRUPT = "_corrupt"
 
 
+PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
+def _parsed(value: Column, schema: StructType) -> Column:
+    """Record of a JSON text; one that does not parse keeps its text in `_corrupt`."""
+    return F.from_json(value, StructType(list(schema)).add(CORRUPT, StringType()), PERMISSIVE)
+
+
 def _scan(spark: SparkSession, path: str, schema: StructType, multi_line: bool) -> DataFrame:
-    reader = spark.read.schema(StructType(list(schema)).add(CORRUPT, "string")).option("mode", "PERMISSIVE")
-    return (
-        reader.option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", multi_line)
-        .option("pathGlobFilter", "*.json")
-        .option("recursiveFileLookup", "true")
-        .json(path)
-    )
+    # Read as text and parsed afterwards: the JSON reader cannot be asked for its corrupt records alone.
+    reader = spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true")
+    return reader.text(path, wholetext=multi_line).select(_parsed(F.col("value"), schema).alias("r")).select("r.*")
 
 
 def scan_posts_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -57,9 +60,7 @@ def keyed_json(records: DataFrame, key: str = "id") -> DataFrame:
 
 def decode_messages(envelopes: DataFrame, topic: str, schema: StructType) -> DataFrame:
     """Records of one topic; a message that is not valid JSON keeps its text in `_corrupt`."""
-    spec = StructType(list(schema)).add(CORRUPT, "string")
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = F.from_json(F.col("value").cast("string"), spec, options)
+    parsed = _parsed(F.col("value").cast("string"), schema)
     return envelopes.where(F.col("topic") == topic).select(parsed.alias("record"), "timestamp").select(
         "record.*", F.col("timestamp").alias("received")
     )
