@@ -30,8 +30,17 @@ TEXT_POLARITIES = {"it": (0.5, 0.6), "les": (-0.4, 0.3), "von": (0.2, 0.9), "la"
 LEMMAS = {"thing": "the", "things": "the", "ther": "there", "then": "than", "unes": "une", "thnd": "and"}
 
 
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return table_scan(spark, f"{sf_dir}/{name}.parquet")
+    """Scan of a given table. A text table that comes as fewer splits than there are cores, like the single small
+    file of the tests, is spread over the cores, as much is computed per row; a large table stays as it is."""
+    rows = table_scan(spark, f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in TEXT_TABLES and rows.rdd.getNumPartitions() < cores:
+        return rows.repartition(cores)
+    return rows
 
 
 def text_records(spark: SparkSession, sf_dir: str) -> DataFrame:

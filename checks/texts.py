@@ -12,14 +12,14 @@ from checks.sql import (
 from threadloom.functions import fuzzy, lexicon as L, text as X
 from threadloom.operators import features as F1, sentiment as S
 from threadloom.operators.merge import merge_columns
-from threadloom.sizing import cut_lineage, spread
+from threadloom.sizing import cut_lineage
 from threadloom.sources import dictionaries as D
 
 
 def pages_and_documents(spark: SparkSession, sf: str) -> DataFrame:
     docs = A.load(spark, sf, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("post_id"), "text")
     pages = A.load(spark, sf, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("post_id"), F.col("html").alias("text"))
-    return spread(docs.unionByName(pages))
+    return docs.unionByName(pages)
 
 
 BOTH = """both_texts AS (SELECT 'd' || doc_id AS post_id, text FROM documents

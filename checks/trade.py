@@ -11,7 +11,7 @@ from checks.sql import POPULAR, TEXT_RECORDS, TEXT_SUBREDDITS, TRADE, grams, r6,
 from threadloom.operators import features as F1, reports as D, trends as T, users as U
 from threadloom.plans import pipeline as P
 from threadloom.schemas import SENTIMENT_POPULARITY
-from threadloom.sizing import cut_lineage, spread, work_dir
+from threadloom.sizing import cut_lineage, work_dir
 from threadloom.sources import tables
 
 AS_OF = "2001-08-01"
@@ -420,7 +420,7 @@ TEXT_START, TEXT_END = "2024-01-03", "2024-01-20"
 def _topic_inputs(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents with their topics; those of clicked events count as questions."""
     rows = A.text_posts(spark, sf)
-    full = spread(rows).select("post_id", "text", F.coalesce(F.col("permalink") == "", F.lit(False)).alias("is_question"))
+    full = rows.select("post_id", "text", F.coalesce(F.col("permalink") == "", F.lit(False)).alias("is_question"))
     topics = F1.doc_topics(F1.with_tokens(full, "post_id", "text")).select("post_id", "topics", "is_question")
     # The reports read the stored analysis table.
     return rows, cut_lineage(topics, "post_analysis"), A.text_subreddits(spark, sf)
