@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from checks import adapters as A
 from threadloom.functions.lexicon import NEGATION_FACTOR
-from threadloom.functions.text import STOP_WORDS
+from threadloom.functions.text import SENTIMENT_BANDS, STOP_WORDS
 
 SP = r"\s\p{Z}"
 
@@ -29,6 +29,8 @@ def stamp(x: str) -> str:
     return f"strftime({x}, '%Y-%m-%d %H:%M:%S')"
 
 
+BANDS = "[" + ", ".join(map(q, SENTIMENT_BANDS)) + "]"
+
 TEXT_RECORDS = f"""
 text_records AS (
   SELECT d.doc_id, CAST(d.doc_id AS VARCHAR) AS id, substring(d.text, 1, 80) AS title, d.text,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import adapters as A
 from checks.sql import (
-    COMMENT_RECORDS, SKILL_PAIRS, TERM_PAIRS, TEXT_MENTIONS, TEXT_RECORDS, TRADE, WORDS, clean, grams, markup_free,
+    BANDS, COMMENT_RECORDS, SKILL_PAIRS, TERM_PAIRS, TEXT_MENTIONS, TEXT_RECORDS, TRADE, WORDS, clean, grams, markup_free,
     mentions_of, r6, scored, sentences, tokens, top_counted, values,
 )
 from threadloom.functions import fuzzy, lexicon as L, text as X
@@ -281,7 +281,7 @@ def sentiment_bucket(spark, sf):
 
 BUCKET = f"""WITH {TRADE}, b AS (SELECT CASE WHEN sentiment_score < -0.5 THEN 1 WHEN sentiment_score < -0.1 THEN 2
   WHEN sentiment_score < 0.1 THEN 3 WHEN sentiment_score < 0.5 THEN 4 WHEN sentiment_score >= 0.5 THEN 5 END AS o FROM analysis)
-SELECT ['very negative', 'negative', 'neutral', 'positive', 'very positive'][o] AS band, CAST(o AS INTEGER) AS band_order,
+SELECT {BANDS}[o] AS band, CAST(o AS INTEGER) AS band_order,
   count(*) AS posts FROM b GROUP BY o"""
 
 

@@ -7,9 +7,9 @@ import functools
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import adapters as A
-from checks.sql import POPULAR, TEXT_RECORDS, TEXT_SUBREDDITS, TRADE, grams, r6, stamp, tokens, top_counted
+from checks.sql import BANDS, POPULAR, TEXT_RECORDS, TEXT_SUBREDDITS, TRADE, grams, r6, stamp, tokens, top_counted
 from threadloom.operators import features as F1, reports as D, trends as T, users as U
-from threadloom.plans import pipeline as P
+from threadloom.plans import analyses as P
 from threadloom.schemas import SENTIMENT_POPULARITY
 from threadloom.sizing import cut_lineage, work_dir
 from threadloom.sources import tables
@@ -392,7 +392,7 @@ def sentiment_distribution(spark, sf):
 DISTRIBUTION = f"""WITH {TRADE}, {CHOSEN}, b AS (SELECT CASE WHEN sentiment_score < -0.5 THEN 1 WHEN sentiment_score < -0.1 THEN 2
   WHEN sentiment_score < 0.1 THEN 3 WHEN sentiment_score < 0.5 THEN 4 ELSE 5 END AS o
   FROM chosen JOIN analysis USING (post_id) WHERE sentiment_score IS NOT NULL AND name IN ({NAME_LIST}))
-SELECT CAST(o AS INTEGER) AS band_order, ['very negative', 'negative', 'neutral', 'positive', 'very positive'][o] AS sentiment_band,
+SELECT CAST(o AS INTEGER) AS band_order, {BANDS}[o] AS sentiment_band,
   count(*) AS post_count FROM b GROUP BY o"""
 
 
@@ -616,9 +616,9 @@ SELECT kind, CAST(row_number() OVER (PARTITION BY kind ORDER BY sentiment_score
 FROM k WHERE kind IS NOT NULL QUALIFY place <= 5"""
 
 
-def run_pipeline(spark, sf):
-    out = work_dir(spark, "pipeline")
-    run = P.run_pipeline(A.trade_posts(spark, sf, True), analysis(spark, sf), dims(spark, sf), out, AS_OF)
+def run_all_analyses(spark, sf):
+    out = work_dir(spark, "analyses")
+    run = P.run_all_analyses(A.trade_posts(spark, sf, True), analysis(spark, sf), dims(spark, sf), out, AS_OF)
     if run.errors:
         raise next(iter(run.errors.values()))
     counts = None
@@ -628,7 +628,7 @@ def run_pipeline(spark, sf):
     return counts
 
 
-_PIPELINE = {
+_ANALYSES = {
     "weekly_tech_trends": "trends",
     "tech_growth": "growth",
     "emerging_tech": "(SELECT * FROM growth WHERE growth_percent >= 50)",
@@ -639,8 +639,8 @@ _PIPELINE = {
     "tech_trends_weekly": "(SELECT 1 FROM mentions GROUP BY tech_name, week_start HAVING count(*) >= 5)",
     "tech_trends_monthly": "(SELECT 1 FROM mentions GROUP BY tech_name, month_start HAVING count(*) >= 5)",
 }
-PIPELINE = f"WITH {TRADE}, {POPULAR}, {GROWTH_CTE}, {MONTHLY_CTE}, {CORR_CTE} " + " UNION ALL ".join(
-    f"SELECT '{name}' AS analysis, count(*) AS records FROM {source}" for name, source in _PIPELINE.items()
+ALL_ANALYSES = f"WITH {TRADE}, {POPULAR}, {GROWTH_CTE}, {MONTHLY_CTE}, {CORR_CTE} " + " UNION ALL ".join(
+    f"SELECT '{name}' AS analysis, count(*) AS records FROM {source}" for name, source in _ANALYSES.items()
 )
 
 QUERIES = {
@@ -701,5 +701,5 @@ QUERIES = {
     "skill_trends": (skill_trends, SKILL_TRENDS),
     "sentiment_by_tech": (sentiment_by_tech, SENTIMENT_BY_TECH),
     "sentiment_examples": (sentiment_examples, EXAMPLES),
-    "run_pipeline": (run_pipeline, PIPELINE),
+    "run_all_analyses": (run_all_analyses, ALL_ANALYSES),
 }

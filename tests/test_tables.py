@@ -301,3 +301,21 @@ def test_redelivered_messages_can_be_dropped(spark, tmp_path):
     distinct = spark.read.parquet(out)
     assert rows(S.user_activity_counts(messages), "username", "post_count") == [("ann", 2)]
     assert rows(S.user_activity_counts(distinct), "username", "post_count") == [("ann", 1)]
+
+
+def test_reports_without_data_offer_defaults(spark):
+    empty = weekly(spark, [])
+    assert [r[0] for r in D.default_techs(empty, 3).collect()] == sorted(D.FALLBACK_TECHS[:3])
+    none = spark.createDataFrame([], "subreddit_id int, name string")
+    assert rows(D.list_subreddits(none)) == [(D.FALLBACK_SUBREDDIT,)]
+
+
+def test_one_failed_analysis_does_not_stop_the_others(spark, tmp_path):
+    from threadloom.plans.analyses import run_all_analyses
+
+    posts, analysis = forum(spark, [("1", ["a"], 0.1, "2024-01-01", 1, "2024-01-01")])
+    subs = spark.createDataFrame([(1, "s")], "subreddit_id int, name string")
+    # These posts have no title, score or comments, and the analysis no skills.
+    run = run_all_analyses(posts, analysis, subs, str(tmp_path / "out"), "2024-01-02")
+    assert set(run.errors) == {"skill_demand", "sentiment_popularity"}
+    assert spark.read.parquet(run.tables["weekly_tech_trends"]).count() == 1

@@ -152,8 +152,9 @@ def polarity_class(score: Column) -> Column:
     return F.when(score > 0.05, "positive").when(score < -0.05, "negative").otherwise("neutral")
 
 
-# Five bands, their labels in display order, and the lower bound of each (inclusive).
-SENTIMENT_BANDS = ["very negative", "negative", "neutral", "positive", "very positive"]
+# Five bands from very negative to very positive, their labels in display order, and the lower bound of
+# each but the first (inclusive).
+SENTIMENT_BANDS = ["Rất tiêu cực", "Tiêu cực", "Trung tính", "Tích cực", "Rất tích cực"]
 SENTIMENT_BOUNDS = [-0.5, -0.1, 0.1, 0.5]
 
 
@@ -194,7 +195,12 @@ def period_label(unit: str, day: Column) -> Column:
 
 
 # Display name of each unit.
-UNIT_LABELS = {"day": "Day", "week": "Week", "month": "Month", "quarter": "Quarter"}
+UNIT_LABELS = {"day": "Ngày", "week": "Tuần", "month": "Tháng", "quarter": "Quý"}
+OTHER_UNIT_LABEL = "Thời gian"
+
+
+def unit_label(unit: str) -> str:
+    return UNIT_LABELS.get(unit, OTHER_UNIT_LABEL)
 
 
 def activity_unit(days: int) -> str:

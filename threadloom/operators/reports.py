@@ -48,8 +48,16 @@ def trends_in(
     return rows
 
 
+def _or_default(rows: DataFrame, column: str, names: list[str]) -> DataFrame:
+    """The rows, or the given names when there are none."""
+    spark = rows.sparkSession
+    default = spark.createDataFrame([(name,) for name in names], f"{column} string")
+    is_empty = rows.agg(F.count("*")).scalar() == 0
+    return rows.unionByName(default.where(is_empty), allowMissingColumns=True)
+
+
 def list_subreddits(subreddits: DataFrame) -> DataFrame:
-    return subreddits.select("name").orderBy("name")
+    return _or_default(subreddits.select("name"), "name", [FALLBACK_SUBREDDIT]).orderBy("name")
 
 
 def _totals(trends: DataFrame, *extra: Column) -> DataFrame:
@@ -61,7 +69,8 @@ def _top(rows: DataFrame, by: str, name: str, n: int) -> DataFrame:
 
 
 def tech_options(trends: DataFrame, n: int = 100) -> DataFrame:
-    return _top(_totals(trends), "total_mentions", "tech_name", n)
+    top = _or_default(_top(_totals(trends), "total_mentions", "tech_name", n), "tech_name", FALLBACK_TECHS[:n])
+    return top.orderBy(F.desc_nulls_last("total_mentions"), "tech_name")
 
 
 def default_techs(trends: DataFrame, n: int = 5) -> DataFrame:

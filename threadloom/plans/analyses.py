@@ -43,7 +43,7 @@ def analyses(
     }
 
 
-def run_pipeline(
+def run_all_analyses(
     posts: DataFrame, analysis: DataFrame, subreddits: DataFrame, out: str, as_of: str | datetime.date
 ) -> Run:
     """Write every analysis below `out`, a new folder. An error in one is kept and does not stop the others."""

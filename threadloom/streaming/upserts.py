@@ -8,6 +8,7 @@ rows are not rewritten. Reading folds all changes with upsert_partial; compact()
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -26,7 +27,7 @@ from threadloom.operators.normalise import comment_rows, known_authors, post_row
 from threadloom.schemas import COMMENT_RECORD, POST_RECORD, struct
 from threadloom.sources.records import dead_letters, decode_messages, well_formed
 
-POSTS_TOPIC, COMMENTS_TOPIC = "reddit-posts", "reddit-comments"
+POSTS_TOPIC, COMMENTS_TOPIC = "posts", "comments"
 DIMENSION = struct("subreddit_id int, name string")
 
 
@@ -109,12 +110,12 @@ def apply_comments(envelopes: DataFrame, batch_id: int, root: str, topic: str =
 
 
 def _start(
-    envelopes: DataFrame, apply: Callable[[DataFrame, int, str], None], root: str, checkpoint: str, trigger: dict | None
+    envelopes: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None
 ) -> StreamingQuery:
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            apply(batch, batch_id, root)
+            apply(batch, batch_id)
         finally:
             batch.unpersist()
 
@@ -122,15 +123,17 @@ def _start(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def stream_upsert_posts(envelopes: DataFrame, root: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def stream_upsert_posts(
+    envelopes: DataFrame, root: str, checkpoint: str, trigger: dict | None = None, topic: str = POSTS_TOPIC
+) -> StreamingQuery:
     """Start the post stream; without a trigger it takes all available data and stops."""
-    return _start(envelopes, apply_posts, root, checkpoint, trigger)
+    return _start(envelopes, partial(apply_posts, root=root, topic=topic), checkpoint, trigger)
 
 
 def stream_upsert_comments(
-    envelopes: DataFrame, root: str, checkpoint: str, trigger: dict | None = None
+    envelopes: DataFrame, root: str, checkpoint: str, trigger: dict | None = None, topic: str = COMMENTS_TOPIC
 ) -> StreamingQuery:
-    return _start(envelopes, apply_comments, root, checkpoint, trigger)
+    return _start(envelopes, partial(apply_comments, root=root, topic=topic), checkpoint, trigger)
 
 
 def user_activity_counts(messages: DataFrame) -> DataFrame:
