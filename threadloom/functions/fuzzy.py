@@ -62,8 +62,13 @@ def _score_chunk(texts: list[str], terms: list[str], cutoff: float) -> np.ndarra
     lengths = np.array(list(map(len, texts)))
     letters_end = np.cumsum(lengths + longest)
 
+    # Counts wrap around at the type's size; the difference over a window no longer than that is exact all the same.
+    small = np.uint8 if longest < 256 else np.uint32
+
     def counted(hits: np.ndarray) -> np.ndarray:
-        return np.concatenate([np.zeros(1, np.int32), np.cumsum(hits, dtype=np.int32)])
+        out = np.zeros(len(hits) + 1, dtype=small)
+        np.cumsum(hits.view(np.uint8), dtype=small, out=out[1:])
+        return out
 
     letters_before = counted(flat != GAP)
     seen = {c: counted(flat == ord(c)) for c in sorted(set("".join(terms)))}
@@ -73,15 +78,15 @@ def _score_chunk(texts: list[str], terms: list[str], cutoff: float) -> np.ndarra
         letters = np.array([ord(c) for c in term], dtype=np.uint32)
         window_size = letters_before[size:] - letters_before[:-size]
         # A common subsequence has no more of a letter than either side has; most windows fail on that alone.
-        shared = np.zeros(len(window_size), dtype=np.int32)
+        shared = np.zeros(len(window_size), dtype=small)
         for letter in set(term):
             before = seen[letter]
-            shared += np.minimum(before[size:] - before[:-size], term.count(letter))
-        needed = np.ceil(cutoff * (size + np.arange(size + 1)) / 200.0 - 1e-9).astype(np.int32)
-        at = np.flatnonzero(shared >= needed[window_size])
+            shared += np.minimum(before[size:] - before[:-size], small(term.count(letter)))
+        needed = np.ceil(cutoff * (size + np.arange(size + 1)) / 200.0 - 1e-9).astype(small)
+        at = np.flatnonzero((shared >= needed[window_size]) & (window_size > 0))
         if len(at):
             windows = np.lib.stride_tricks.sliding_window_view(flat, size)[at]
-            found = 200.0 * _common_with_windows(letters, windows) / (size + window_size[at])
+            found = 200.0 * _common_with_windows(letters, windows) / (size + window_size[at].astype(np.int64))
             # Gaps are as long as the longest term, so a window touches one text: the first to end after its start.
             owner = np.searchsorted(letters_end, at, side="right")
             np.maximum.at(scores[:, t], owner, np.where(found >= cutoff, found, 0.0))
