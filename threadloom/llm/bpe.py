@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -22,8 +23,9 @@ from threadloom.llm.common import map_rows
 # Fixed value: the pre-token pattern of the byte-level vocabularies.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-# Encoded words that a Python worker remembers; the store is emptied when it is full, which changes no result.
-REMEMBERED = 250_000
+# Encoded words that a Python worker remembers (about 200 bytes each); the store is emptied when it is full, which
+# changes no result.
+REMEMBERED = 600_000
 
 
 def byte_symbols() -> list[str]:
@@ -100,15 +102,39 @@ def _push(queue, merges, left, a, b) -> None:
         heapq.heappush(queue, (found[0], left, a, b))
 
 
+_MARKS = ".,;:!?|#*$%&"
+
+
+def _packed(ids) -> bytes:
+    return array("I", ids).tobytes()
+
+
+class _Tails(dict):
+    def __init__(self, encode: Callable[[str], list[int]]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, tail: str) -> bytes:
+        if len(self) >= 10_000:
+            self.clear()
+        found = self[tail] = _packed(self.encode(tail))
+        return found
+
+
 class _Remembered(dict):
-    def __init__(self, encode: Callable[[str], list[int]], lead: str, limit: int):
+    def __init__(self, encode, letters, tails: _Tails, lead: str, limit: int):
         super().__init__()
-        self.encode, self.lead, self.limit = encode, lead, limit
+        self.encode, self.letters, self.tails, self.lead, self.limit = encode, letters, tails, lead, limit
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= self.limit:
             self.clear()
-        found = self[word] = np.asarray(self.encode(self.lead + word), dtype="<u4").tobytes()
+        core = word.rstrip(_MARKS)
+        if core.isalpha():  # letters and the marks after them are pre-tokens of their own
+            found = self.letters(self.lead + core) if core is word else self[core] + self.tails[word[len(core) :]]
+        else:
+            found = _packed(self.encode(self.lead + word))
+        self[word] = found
         return found
 
 
@@ -117,27 +143,36 @@ class WordCache:
 
     No pre-token spans a single space or a single newline between two other characters: the space belongs to what
     follows, the newline stands alone. So a text whose lines are words with single spaces between them can be encoded
-    by words. Any other text goes to `encode` as it is.
+    by words. Any other text goes to `encode` as it is. `letters` encodes one pre-token of letters, with or without a
+    space before them.
     """
 
-    def __init__(self, encode: Callable[[str], list[int]], special: tuple[str, ...], limit: int = REMEMBERED):
+    def __init__(self, encode: Callable[[str], list[int]], letters: Callable[[str], list[int]], special: tuple[str, ...], limit: int = REMEMBERED):
         self.encode, self.special = encode, special
-        self.first, self.rest = _Remembered(encode, "", limit), _Remembered(encode, " ", limit)
-        self.newline = np.asarray(encode("\n"), dtype="<u4").tobytes()
+        tails, packed = _Tails(encode), lambda piece: _packed(letters(piece))
+        self.first, self.rest = (_Remembered(encode, packed, tails, lead, limit) for lead in ("", " "))
+        self.newline = _packed(encode("\n"))
 
     def encode_bytes(self, text: str) -> bytes:
         """Ids of text as unsigned little-endian 32-bit integers."""
-        lines = [line.split(" ") for line in text.split("\n")]
-        if any(s in text for s in self.special) or [w for line in lines for w in line] != text.split():
-            return np.asarray(self.encode(text), dtype="<u4").tobytes()
+        if not self._plain(text):
+            return _packed(self.encode(text))
         rest = self.rest.__getitem__
+        lines = [line.split(" ") for line in text.split("\n")]
         return self.newline.join([self.first[words[0]] + b"".join(map(rest, words[1:])) for words in lines])
 
+    def _plain(self, text: str) -> bool:
+        """Words with one space or newline between them, no other white space, no special string."""
+        if not text or text[0].isspace() or text[-1].isspace() or any(s in text for s in self.special):
+            return False
+        # White space other than the space is not printable.
+        return text.replace("\n", "").isprintable() and not any(s in text for s in ("  ", "\n\n", " \n", "\n "))
+
 
 @lru_cache(maxsize=2)
 def own_cache(path: str) -> tuple[ByteBpe, WordCache]:
     bpe = ByteBpe(path)
-    return bpe, WordCache(bpe.encode, tuple(bpe.special))
+    return bpe, WordCache(bpe.encode, lambda piece: bpe.merge(piece.encode()), tuple(bpe.special))
 
 
 def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -19,7 +19,7 @@ from functools import lru_cache
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from threadloom.llm.bpe import WordCache
+from threadloom.llm.bpe import WordCache, byte_symbols
 from threadloom.llm.common import map_rows, store
 
 LIMIT = 1024
@@ -117,7 +117,13 @@ def _library_cache(path: str) -> WordCache:
     tokenizer.no_truncation()
     tokenizer.no_padding()
     special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
-    return WordCache(lambda text: tokenizer.encode(text, add_special_tokens=False).ids, special)
+    model, symbols = tokenizer.model, dict(enumerate(byte_symbols()))
+
+    def letters(piece: str) -> list[int]:
+        """Ids of a pre-token by the library's BPE model, which reads one symbol per byte."""
+        return [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(symbols))]
+
+    return WordCache(lambda text: tokenizer.encode(text, add_special_tokens=False).ids, letters, special)
 
 
 def token_pieces(docs: DataFrame, path: str, end_id: int, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
