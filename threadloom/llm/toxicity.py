@@ -33,9 +33,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from threadloom.llm.common import keys_hint, map_rows, store
 
-MAX_TERMS = 4_000
+MAX_TERMS = 300
 LEAST_G = 30.0
-MAX_EXAMPLES = 20_000
+MAX_EXAMPLES = 5_000
 BLOCK = 64
 K = 15
 BINS = 20
@@ -102,8 +102,10 @@ class ToxicModel:
         self.weights = [np.array([w for _, w in x]) for x in lists]
         # For each list: the blocks it reaches, where each starts in the list, and the greatest weight in each.
         self.reached, self.starts, self.most = [], [], []
-        for examples, weights in zip(self.examples, self.weights):
+        self.at = np.full((t, self.blocks), -1)  # place of a block among those a list reaches
+        for i, (examples, weights) in enumerate(zip(self.examples, self.weights)):
             reached, starts = np.unique(examples // BLOCK, return_index=True)
+            self.at[i, reached] = np.arange(len(reached))
             self.reached.append(reached)
             self.starts.append(np.append(starts, len(examples)))
             self.most.append(np.maximum.reduceat(weights, starts) if len(weights) else weights)
@@ -121,8 +123,7 @@ class ToxicModel:
                 break
             scores = np.zeros(BLOCK)
             for i, w in zip(ids, weights):
-                at = np.searchsorted(self.reached[i], block)
-                if at < len(self.reached[i]) and self.reached[i][at] == block:
+                if (at := self.at[i, block]) >= 0:
                     part = slice(self.starts[i][at], self.starts[i][at + 1])
                     scores[self.examples[i][part] - block * BLOCK] += w * self.weights[i][part]
             hits = np.flatnonzero(scores > max(worst - 1e-9, 0) if len(best) >= k else scores > 0)
@@ -221,6 +222,7 @@ def fit(train: DataFrame) -> ToxicModel:
         F.min("id").alias("id"), F.sum(1 - F.col("label")).alias("zeros"), F.sum("label").alias("ones")
     )
     examples = examples.orderBy(F.crc32("id"), "id").limit(MAX_EXAMPLES).collect()
+    examples.sort(key=lambda r: (r.ids, r.weights))  # like examples share blocks, which keeps the bounds tight
     model.index([r.id for r in examples], [(r.ids, r.weights) for r in examples], [r.zeros for r in examples], [r.ones for r in examples])
 
     bare = seen.where("size(ids) = 0").agg(F.avg("label")).first()[0]
