@@ -177,7 +177,8 @@ def classify(blocks: list[Block]) -> list[bool]:
             first.append(density(i) >= STOP_LOW)
         else:
             first.append(density(i) >= STOP_HIGH)
-    return _inherit(first, [b.article for b in blocks])
+    # Marked boilerplate within an article says nothing about its neighbours there.
+    return _inherit(first, [-1 if b.article and b.boilerplate else b.article for b in blocks])
 
 
 def _inherit(first: list[bool | None], articles: list[int]) -> list[bool]:
