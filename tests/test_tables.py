@@ -319,3 +319,27 @@ def test_one_failed_analysis_does_not_stop_the_others(spark, tmp_path):
     run = run_all_analyses(posts, analysis, subs, str(tmp_path / "out"), "2024-01-02")
     assert set(run.errors) == {"skill_demand", "sentiment_popularity"}
     assert spark.read.parquet(run.tables["weekly_tech_trends"]).count() == 1
+
+
+def test_lookup_ways_agree_on_repeated_terms_and_keys(spark):
+    from threadloom.functions.lookup import lookup_tokens
+
+    df = spark.createDataFrame([(1, ["a", "b"]), (1, ["a", "b"]), (1, ["b"]), (2, None), (3, [])], "id long, tokens array<string>")
+    table = spark.createDataFrame([("a", "y"), ("a", "x"), ("c", "z")], "term string, lemma string")
+    ways = [
+        sorted((r.id, str(r.tokens), str([c and c.lemma for c in r.out] if r.out is not None else None)) for r in lookup_tokens(df, "id", "tokens", table, "term", "out", n).collect())
+        for n in (10, 0)
+    ]
+    assert ways[0] == ways[1] and (1, "['a', 'b']", "['x', None]") in ways[0]
+
+
+def test_thirds_keep_names_with_undated_posts(spark):
+    from datetime import datetime
+
+    from threadloom.operators.sentiment import tech_sentiment_thirds
+
+    dated = [datetime(2024, 1, d) for d in (1, 2)]
+    rows = [("n", f"p{i}", float(i), d) for i, d in enumerate([None, None, *dated])]
+    scored = spark.createDataFrame(rows, "tech_name string, post_id string, score double, created_date timestamp")
+    found = tech_sentiment_thirds(scored).collect()
+    assert len(found) == 1 and found[0].recent == 2.5 and found[0].early + found[0].mid == 1.0

@@ -18,8 +18,12 @@ def lookup_tokens(
     """Add `out`: for each token the struct of the table's other columns, NULL where the token is not in the table.
 
     A table of up to max_rows rows travels with the tasks and is applied to whole Arrow arrays: no shuffle, no work per
-    row. A larger one is joined: the tokens are exploded and come back grouped by `key`, which must identify a row.
+    row. A larger one is joined: the tokens of each distinct (key, tokens) are exploded and come back grouped by it. Of
+    several table rows for one term the smallest counts, so both ways give the same arrays.
     """
+    names = [c for c in table.columns if c != term]
+    least = table.groupBy(term).agg(F.min(F.struct(*names)).alias("_least"))
+    table = least.select(term, *[F.col("_least")[c].alias(c) for c in names])
     values = table.drop(term)
     rows = table.limit(max_rows + 1).toArrow()
     if rows.num_rows <= max_rows:
@@ -53,15 +57,17 @@ def _apply_joined(df, key: str, tokens: str, table: DataFrame, term: str, values
         F.struct(*values).alias("_found"),
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
     )
-    exploded = df.select(key, F.posexplode(tokens).alias("_pos", "_token")).withColumn(
+    same = F.xxhash64(tokens)
+    source = df.where(F.col(key).isNotNull()).select(key, tokens, same.alias("_tokens")).dropDuplicates([key, "_tokens"])
+    exploded = source.select(key, "_tokens", F.posexplode(tokens).alias("_pos", "_token")).withColumn(
         "_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")
     )
     collected = (
         exploded.join(salted, ["_token", "_salt"], "left")
-        .groupBy(key)
+        .groupBy(key, "_tokens")
         .agg(F.sort_array(F.collect_list(F.struct("_pos", "_found"))).alias("_cells"))
-        .select(key, F.transform("_cells", lambda cell: cell["_found"]).alias(out))
+        .select(key, "_tokens", F.transform("_cells", lambda cell: cell["_found"]).alias(out))
     )
-    joined = df.join(collected, key, "left")
+    joined = df.withColumn("_tokens", same).join(collected, [key, "_tokens"], "left").drop("_tokens")
     empty = F.array().cast(collected.schema[out].dataType)
     return joined.withColumn(out, F.when(F.col(tokens).isNotNull(), F.coalesce(out, empty)))

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from threadloom.functions import text as X
 from threadloom.operators.trends import as_date
-from threadloom.sizing import broadcast_if_small
+from threadloom.sizing import broadcast_if_small, broadcast_known
 
 Day = str | datetime.date
 
@@ -300,7 +300,7 @@ def network_degree(edges: DataFrame, threshold: float = 0.05, n: int = 30) -> Da
     """
     kept = edges.where(F.col("correlation_score") >= threshold).select("tech_name_1", "tech_name_2")
     nodes = _top(_degrees(kept), "degree", "tech_name", n).select("tech_name")
-    chosen = broadcast_if_small(nodes)
+    chosen = broadcast_known(nodes, n)
     inner = kept.join(chosen.withColumnRenamed("tech_name", "tech_name_1"), "tech_name_1", "left_semi").join(
         chosen.withColumnRenamed("tech_name", "tech_name_2"), "tech_name_2", "left_semi"
     )
@@ -352,7 +352,7 @@ def skill_trends(
     skills = _skills(posts, analysis, start, end, terms, skill_type)
     monthly = skills.groupBy("month", "skill").agg(F.count("*").alias("post_count"))
     totals = monthly.groupBy("skill").agg(F.sum("post_count").alias("total"))
-    best = broadcast_if_small(_top(totals, "total", "skill", n).select("skill"))
+    best = broadcast_known(_top(totals, "total", "skill", n).select("skill"), n)
     return monthly.join(best, "skill", "left_semi").select("month", "skill", "post_count")
 
 

@@ -156,14 +156,19 @@ def cooccurrence(analysis: DataFrame, popular: DataFrame, diagonal: bool = False
         lambda second: F.struct(first.alias("tech_name_1"), second.alias("tech_name_2")),
     )
     names = F.col("names")
+    kept = broadcast_if_small(popular.select(F.col("tech_name").alias("_kept")))
+    # Only popular names are paired.
+    sets = (
+        sets.select("names", "posts", F.explode("names").alias("_kept"))
+        .join(kept, "_kept", "left_semi")
+        .groupBy("names", "posts")
+        .agg(F.sort_array(F.collect_set("_kept")).alias("_popular"))
+        .select(F.col("_popular").alias("names"), "posts")
+    )
     pairs = sets.select(
         "posts", F.explode(F.flatten(F.transform(names, lambda first, i: here(names, first, i)))).alias("pair")
     )
-    counted = pairs.groupBy("pair.tech_name_1", "pair.tech_name_2").agg(F.sum("posts").alias("together"))
-    kept = broadcast_if_small(popular.select("tech_name"))
-    return counted.join(kept.withColumnRenamed("tech_name", "tech_name_1"), "tech_name_1", "left_semi").join(
-        kept.withColumnRenamed("tech_name", "tech_name_2"), "tech_name_2", "left_semi"
-    ).select("tech_name_1", "tech_name_2", "together")
+    return pairs.groupBy("pair.tech_name_1", "pair.tech_name_2").agg(F.sum("posts").alias("together"))
 
 
 def jaccard(pairs: DataFrame, popular: DataFrame) -> DataFrame:

@@ -22,6 +22,11 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if fits(df, rows) else df
 
 
+def broadcast_known(df: DataFrame, rows: int) -> DataFrame:
+    """Hint a broadcast of a frame whose greatest number of rows is known; nothing is counted."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new path in the folder named by spark.checkpoint.dir (shared by the cluster).
 
