@@ -55,11 +55,15 @@ def estimate(bits: np.ndarray, scalars: np.ndarray, rotated_queries: np.ndarray,
     return products / scalars, error
 
 
+def _in_order(products: np.ndarray) -> np.ndarray:
+    """Sums of rows from first to last component, so that a pair has one score however vectors are blocked."""
+    return products.cumsum(axis=1)[:, -1]
+
+
 def search_block(ids, vectors, bits, scalars, query_ids, queries, matrix, k: int, epsilon: float):
     """(query, id, cosine) of the k nearest of the block for each query, with their exact cosines."""
-    norms = np.sqrt((vectors * vectors).sum(axis=1))
-    query_norms = np.sqrt((queries * queries).sum(axis=1))
-    rotated = (queries / query_norms[:, None]) @ matrix
+    squares, query_squares = _in_order(vectors * vectors), _in_order(queries * queries)
+    rotated = (queries / np.sqrt(query_squares)[:, None]) @ matrix
     out = []
     for start in range(0, len(queries), 128):
         part = slice(start, start + 128)
@@ -69,7 +73,7 @@ def search_block(ids, vectors, bits, scalars, query_ids, queries, matrix, k: int
             lower = np.where(own, -np.inf, row - error)
             enough = np.partition(lower, -k)[-k] if len(lower) > k else -np.inf
             picked = np.flatnonzero((row + error >= enough) & ~own)
-            cosines = (vectors[picked] @ queries[i]) / (norms[picked] * query_norms[i])
+            cosines = _in_order(vectors[picked] * queries[i]) / np.sqrt(squares[picked] * query_squares[i])
             order = np.lexsort((ids[picked], -cosines))[:k]
             out += [(int(query_ids[i]), int(ids[picked[j]]), float(cosines[j])) for j in order]
     return out
