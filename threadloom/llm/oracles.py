@@ -44,4 +44,52 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, component_id, d.doc_id = compon
 FROM documents d JOIN component ON node = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
 """
 
-SQL = {"op1_nearest_vectors": NEAREST_VECTORS, "op10_near_duplicates": NEAR_DUPLICATES}
+# The wording of the notices as patterns over words with single spaces between them.
+NOTICES = (
+    ("all-rights-reserved", " all rights reserved "),
+    ("apache-2.0", " licensed under the apache license version 2 0 "),
+    ("bsd-text", " redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "),
+    ("cc-by-4.0", " licensed under( a)?( creative commons)? cc by 4 0 "),
+    ("cc-by-nc-4.0", " licensed under( a)?( creative commons)? cc by nc 4 0 "),
+    ("cc-by-sa-4.0", " licensed under( a)?( creative commons)? cc by sa 4 0 "),
+    ("cc-notice", " licensed under a creative commons( [^ ]+){0,6} license "),
+    ("gpl-2.0", " licensed under( the terms of)? the gnu general public license( as published by the free software foundation)?( either)? version 2 "),
+    ("gpl-3.0", " licensed under( the terms of)? the gnu general public license( as published by the free software foundation)?( either)? version 3 "),
+    ("gpl-notice", " you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation "),
+    ("isc-text", " permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "),
+    ("lgpl-notice", " under the terms of the gnu( lesser)?( library)? general public license( [^ ]+){0,6} as published by the free software foundation "),
+    ("mit-notice", " (released|licensed) under the mit license "),
+    ("mit-text", " permission is hereby granted free of charge to any person obtaining a copy of this( [^ ]+){0,4} and associated documentation files( [^ ]+){0,3} to deal in the( [^ ]+){0,3} without restriction "),
+    ("mpl-2.0", " subject to the terms of the mozilla public license v 2 0 "),
+    ("unlicense", " this is free and unencumbered software released into the public domain "),
+)
+
+_ACCEPTED = ", ".join(f"CASE WHEN regexp_matches(line, '{pattern}') THEN '{label}' END" for label, pattern in NOTICES)
+
+
+def _places(*phrase: str) -> str:
+    here = " AND ".join(f"words[i + {n}] = '{word}'" for n, word in enumerate(phrase))
+    return f"list_filter(range(1, len(words) + 1), lambda i: coalesce({here}, false))"
+
+
+LICENSES = rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce({LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), p AS (
+  SELECT doc_id, len(words) AS n_words, ' ' || array_to_string(words, ' ') || ' ' AS line, {_places("mit", "license")} AS mit,
+    {_places("apache", "license")} AS apache, {_places("general", "public", "license")} AS gpl
+  FROM w
+), s AS (
+  SELECT *, list_sort(list_concat(list_concat(mit, apache), gpl)) AS starts,
+    list_filter([CASE WHEN len(apache) > 0 THEN 'apache' END, CASE WHEN len(gpl) > 0 THEN 'gpl' END,
+      CASE WHEN len(mit) > 0 THEN 'mit' END], lambda x: x IS NOT NULL) AS base,
+    list_filter([{_ACCEPTED}], lambda x: x IS NOT NULL) AS notices
+  FROM p
+)
+SELECT doc_id, n_words, len(starts) AS n_base, starts[1] - 1 AS first_word, starts[len(starts)] - 1 AS last_word,
+  array_to_string(base, ',') AS base_labels, array_to_string(list_sort(list_distinct(list_concat(base, notices))), ',') AS labels,
+  CASE WHEN len(notices) > 0 THEN 1.0::DOUBLE WHEN len(starts) > 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score
+FROM s
+"""
+
+SQL = {"op1_nearest_vectors": NEAREST_VECTORS, "op8_license_scan": LICENSES, "op10_near_duplicates": NEAR_DUPLICATES}
