@@ -66,8 +66,39 @@ def test_flatten_replies_goes_as_deep_as_the_tree(spark):
     found = N.flatten_replies(df, struct("id string, parent_id string, body string"))
     expected = sorted(itertools.chain.from_iterable(map(flat, forest)))
     assert rows(found, "id", "parent_id", "body") == expected
-    with pytest.raises(ValueError):
-        N.flatten_replies(df, struct("id string, parent_id string, body string"), max_depth=4)
+
+
+def test_broken_reply_trees_are_rejects(spark):
+    good = json.dumps([{"id": "a", "parent_id": "t3_p", "replies": [{"id": "b", "replies": ""}]}])
+    trees = [("p", good), ("q", '[{"id": "c", "rep'), ("r", " "), ("s", "null"), ("t", None)]
+    df = spark.createDataFrame(trees, "post_id string, comments string")
+    for levels in (1, 4):
+        found, rejects = N.reply_tables(df, struct("id string, parent_id string"), levels)
+        assert rows(found, "id", "parent_id") == [("a", "t3_p"), ("b", "a")]
+        assert rows(rejects, "post_id", "parent", "comments") == [("q", None, trees[1][1])]
+
+
+def test_large_dictionaries_keep_their_order(spark):
+    from threadloom.sources.dictionaries import flatten_terms, term_pairs
+
+    entries = [{"name": f"n{i}", "aliases": [f"a{i}_{j}" for j in range(1500 if i == 3 else 1)], "weight": 1.0} for i in range(1500)]
+    file = spark.createDataFrame([(json.dumps({"x": entries, "y": None, "z": entries[:1]}),)], "value string")
+    terms = flatten_terms(file)
+    assert terms.count() == terms.select("term_order").distinct().count() == 1500 + 1499 + 1500 + 2
+    expected = [(t, e["name"]) for e in entries for t in (e["name"], *e["aliases"])]
+    assert term_pairs(terms) == expected
+
+
+def test_emerging_report_is_saved_with_the_analyses(spark, tmp_path):
+    from threadloom.plans.analyses import run_all_analyses
+
+    posts, analysis = forum(spark, [("1", ["a"], 0.1, "2024-01-01", 1, "2024-01-01")])
+    subs = spark.createDataFrame([(1, "s")], "subreddit_id int, name string")
+    stored = spark.createDataFrame(
+        [], "tech_name string, period_start date, period_end date, mention_count bigint, sentiment_avg double, growth_percent double, correlation_score double"
+    )
+    run = run_all_analyses(posts, analysis, subs, str(tmp_path / "out"), "2024-01-02", stored)
+    assert spark.read.parquet(run.tables["emerging_saved"]).count() == spark.read.parquet(run.tables["emerging_tech"]).count()
 
 
 VERSIONS = "id string, title string, score int, seen int"

@@ -39,7 +39,7 @@ def partial_score(term: str, text: str) -> float:
     return best
 
 
-def _common_with_windows(term: np.ndarray, windows: np.ndarray) -> np.ndarray:
+def _common_by_rows(term: np.ndarray, windows: np.ndarray) -> np.ndarray:
     """Longest common subsequence of the term with every row of windows, all rows at once."""
     row = np.zeros((len(term) + 1, len(windows)), dtype=np.int16)
     for column in range(windows.shape[1]):
@@ -51,6 +51,21 @@ def _common_with_windows(term: np.ndarray, windows: np.ndarray) -> np.ndarray:
     return row[len(term)]
 
 
+def _common_with_windows(places: np.ndarray, codes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """The same for terms of up to 64 letters and the windows that begin at `at`, with one word of bits per window.
+
+    places[code] has a bit for each place of that letter in the term. A bit of `still` is 0 where the term's prefix up to
+    there has one letter more in common with the window than the prefix before it; one addition per letter moves all
+    prefixes on.
+    """
+    still = np.full(len(at), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for column in range(size):
+        met = still & places[codes[at + column]]
+        still = (still + met) | (still - met)
+    within = np.uint64((1 << size) - 1)
+    return np.bitwise_count(~still & within).astype(np.int64)
+
+
 def _score_chunk(texts: list[str], terms: list[str], cutoff: float) -> np.ndarray:
     """Scores of shape (texts, terms); 0 where the score is below the cutoff."""
     longest = max(map(len, terms))
@@ -71,7 +86,11 @@ def _score_chunk(texts: list[str], terms: list[str], cutoff: float) -> np.ndarra
         return out
 
     letters_before = counted(flat != GAP)
-    seen = {c: counted(flat == ord(c)) for c in sorted(set("".join(terms)))}
+    alphabet = sorted(set("".join(terms)))
+    seen = {c: counted(flat == ord(c)) for c in alphabet}
+    points = np.array([ord(c) for c in alphabet], dtype=np.uint32)
+    nearest = np.minimum(np.searchsorted(points, flat), len(points) - 1)
+    codes = np.where(points[nearest] == flat, nearest + 1, 0)  # 0: a letter of no term
     scores = np.zeros((len(texts), len(terms)))
     for t, term in enumerate(terms):
         size = len(term)
@@ -85,8 +104,14 @@ def _score_chunk(texts: list[str], terms: list[str], cutoff: float) -> np.ndarra
         needed = np.ceil(cutoff * (size + np.arange(size + 1)) / 200.0 - 1e-9).astype(small)
         at = np.flatnonzero((shared >= needed[window_size]) & (window_size > 0))
         if len(at):
-            windows = np.lib.stride_tricks.sliding_window_view(flat, size)[at]
-            found = 200.0 * _common_with_windows(letters, windows) / (size + window_size[at].astype(np.int64))
+            if size <= 64:
+                places = np.zeros(len(alphabet) + 1, dtype=np.uint64)
+                for i, letter in enumerate(term):
+                    places[alphabet.index(letter) + 1] |= np.uint64(1 << i)
+                common = _common_with_windows(places, codes, at, size)
+            else:
+                common = _common_by_rows(letters, np.lib.stride_tricks.sliding_window_view(flat, size)[at])
+            found = 200.0 * common / (size + window_size[at].astype(np.int64))
             # Gaps are as long as the longest term, so a window touches one text: the first to end after its start.
             owner = np.searchsorted(letters_end, at, side="right")
             np.maximum.at(scores[:, t], owner, np.where(found >= cutoff, found, 0.0))

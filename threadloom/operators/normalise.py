@@ -96,16 +96,13 @@ def feed_union(feeds: dict[str, DataFrame]) -> DataFrame:
 def feed_cap(records: DataFrame, per_feed: int) -> DataFrame:
     """The first per_feed posts that are not pinned, of every subreddit and feed, in feed order.
 
-    The rank filter lets Spark keep only per_feed rows of a feed in each task before the shuffle, so a hot feed
-    arrives already cut. Above the threshold up to which Spark does that, the same is done over salted parts first.
+    A hot feed is cut in 64 salted parts first, so that no task ever sorts all of it.
     """
     order = [F.col("feed_pos"), F.col("id")]
     kept = drop_stickied(records)
-    threshold = int(records.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if per_feed > threshold:
-        salt = F.pmod(F.xxhash64("id"), F.lit(64))
-        parts = Window.partitionBy("subreddit", "sort_type", salt).orderBy(*order)
-        kept = kept.withColumn("_rank", F.row_number().over(parts)).where(F.col("_rank") <= per_feed).drop("_rank")
+    salt = F.pmod(F.xxhash64("id"), F.lit(64))
+    parts = Window.partitionBy("subreddit", "sort_type", salt).orderBy(*order)
+    kept = kept.withColumn("_rank", F.row_number().over(parts)).where(F.col("_rank") <= per_feed).drop("_rank")
     feed = Window.partitionBy("subreddit", "sort_type").orderBy(*order)
     return kept.withColumn("_rank", F.row_number().over(feed)).where(F.col("_rank") <= per_feed).drop("_rank")
 
@@ -116,16 +113,20 @@ def _tree_type(fields: StructType, levels: int) -> ArrayType:
     return ArrayType(StructType([*fields.fields, StructField("replies", replies)]))
 
 
-def flatten_replies(
-    trees: DataFrame, fields: StructType, levels_at_once: int = 4, max_depth: int = 1000
-) -> DataFrame:
-    """Comment trees to flat rows.
+def flatten_replies(trees: DataFrame, fields: StructType, levels_at_once: int = 4) -> DataFrame:
+    """The rows of reply_tables without its rejects."""
+    return reply_tables(trees, fields, levels_at_once)[0]
+
+
+def reply_tables(trees: DataFrame, fields: StructType, levels_at_once: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Comment trees to flat rows, and the texts that do not parse: (post_id, parent, comments).
 
     `trees` has post_id and `comments`, the JSON array of top-level comments; a comment has `fields` (with id and
     parent_id) and an optional array `replies`. A reply's parent_id is the enclosing comment's id, a top-level
     comment keeps its own. Each round parses the JSON once and takes several levels inside the row; what lies deeper
-    is the input of the next round, stored so that no round repeats an earlier one. Trees deeper than max_depth raise
-    an error instead of losing rows.
+    is the input of the next round, stored so that no round repeats an earlier one. Rounds go on until no deeper text
+    is left. A null, blank or `null` text has no comments; any other that is no array of comments is a reject, with the
+    comment it hangs under as `parent`.
     """
     names = [f.name for f in fields if f.name != "parent_id"]
     own = lambda node: [node[name].alias(name) for name in names]
@@ -155,18 +156,22 @@ def flatten_replies(
 
     spec = _tree_type(fields, levels_at_once)
     pending = trees.select("post_id", F.lit(None).cast("string").alias("parent"), "comments")
-    pieces = None
-    for _ in range(0, max_depth, levels_at_once):
+    pieces = rejects = None
+    while True:
         roots = F.transform(
             F.from_json("comments", spec),
             lambda n: F.struct(
                 F.coalesce("parent", n["parent_id"]).alias("parent_id"), *own(n), n["replies"].alias("replies")
             ),
         )
-        stored = cut_lineage(pending.select("post_id", flat_levels(roots).alias("found")), "replies")
+        flat = pending.select("post_id", "parent", "comments", flat_levels(roots).alias("found"))
+        blank = F.trim(F.coalesce("comments", F.lit(""))).isin("", "null")
+        unparsed = F.when(F.col("found.nodes").isNull() & ~blank, F.col("comments"))
+        stored = cut_lineage(flat.select("post_id", "parent", unparsed.alias("comments"), "found"), "replies")
         piece = stored.select("post_id", F.explode("found.nodes").alias("node")).select("post_id", "node.*")
+        reject = stored.where("comments is not null").select("post_id", "parent", "comments")
         pieces = piece if pieces is None else pieces.unionByName(piece)
+        rejects = reject if rejects is None else rejects.unionByName(reject)
         pending = stored.select("post_id", F.explode("found.rest").alias("rest")).select("post_id", "rest.*")
         if pending.isEmpty():
-            return pieces
-    raise ValueError(f"reply trees are deeper than {max_depth} levels")
+            return pieces, rejects

@@ -48,16 +48,18 @@ def weekly_mentions_incremental(
     Inside the range old rows go, so a week that lost all its mentions vanishes. An empty range changes nothing.
     """
     week = period_start("week", F.col("created_date"))
-    touched = (
-        analysis.where((F.col("processed_date") > last_run) & F.col("tech_mentioned").isNotNull())
-        .select("post_id")
-        .join(posts.select("post_id", week.alias("week_start")), "post_id")
-        .agg(F.min("week_start").alias("lo"), F.max("week_start").alias("hi"))
-    )
-    lo, hi = touched.select("lo").scalar(), touched.select("hi").scalar()
-    inside = F.coalesce(F.col("week_start").between(lo, hi), F.lit(False))
-    kept = trends.where(~inside).select("tech_name", "week_start", "subreddit_id", "mention_count")
-    recent = posts.where(F.coalesce(week.between(lo, hi), F.lit(False)))
+    fresh = analysis.where((F.col("processed_date") > last_run) & F.col("tech_mentioned").isNotNull()).select("post_id")
+    weeks = posts.select("post_id", week.alias("week_start")).join(fresh, "post_id")
+    # Two dates come to the driver, so that both scans below get them as literals and can skip files and partitions.
+    span = weeks.agg(F.min("week_start").cast("string").alias("lo"), F.max("week_start").cast("string").alias("hi")).first()
+    old = trends.select("tech_name", "week_start", "subreddit_id", "mention_count")
+    if span["lo"] is None:
+        return old
+    lo, hi = F.lit(span["lo"]).cast("date"), F.lit(span["hi"]).cast("date")
+    start = F.col("week_start")
+    kept = old.where(start.isNull() | (start < lo) | (start > hi))
+    day = F.col("created_date")
+    recent = posts.where((day >= lo.cast("timestamp")) & (day < F.date_add(hi, 7).cast("timestamp")))
     return kept.unionByName(weekly_mentions_full(recent, analysis))
 
 

@@ -26,11 +26,18 @@ def analyses(
     posts: DataFrame,
     analysis: DataFrame,
     subreddits: DataFrame,
-    stored_trends: Callable[[], DataFrame],
+    stored: Callable[[str], DataFrame],
     as_of: str | datetime.date,
+    correlations: DataFrame | None = None,
 ) -> dict[str, Callable[[], DataFrame]]:
-    """Name to plan. weekly_tech_trends comes first; the plans that need its result ask for stored_trends()."""
-    return {
+    """Name to plan, in order; plans that need an earlier result ask for stored(its name).
+
+    With the stored correlation table, emerging_saved is that table with the emerging report merged in.
+    """
+    def stored_trends() -> DataFrame:
+        return stored("weekly_tech_trends")
+
+    plans = {
         "weekly_tech_trends": lambda: A.weekly_tech_trends(posts, analysis),
         "tech_growth": lambda: A.tech_growth(stored_trends()),
         "emerging_tech": lambda: A.emerging_tech(stored_trends()),
@@ -41,19 +48,23 @@ def analyses(
         "tech_trends_weekly": lambda: A.tech_trends_by_time(posts, analysis, "week"),
         "tech_trends_monthly": lambda: A.tech_trends_by_time(posts, analysis, "month"),
     }
+    if correlations is not None:
+        plans["emerging_saved"] = lambda: A.save_emerging(correlations, stored("emerging_tech"), as_of)
+    return plans
 
 
 def run_all_analyses(
-    posts: DataFrame, analysis: DataFrame, subreddits: DataFrame, out: str, as_of: str | datetime.date
+    posts: DataFrame, analysis: DataFrame, subreddits: DataFrame, out: str, as_of: str | datetime.date,
+    correlations: DataFrame | None = None,
 ) -> Run:
     """Write every analysis below `out`, a new folder. An error in one is kept and does not stop the others."""
     spark = posts.sparkSession
     run = Run()
 
-    def stored_trends() -> DataFrame:
-        return spark.read.parquet(run.tables["weekly_tech_trends"])
+    def stored(name: str) -> DataFrame:
+        return spark.read.parquet(run.tables[name])
 
-    for name, plan in analyses(posts, analysis, subreddits, stored_trends, as_of).items():
+    for name, plan in analyses(posts, analysis, subreddits, stored, as_of, correlations).items():
         path = f"{out.rstrip('/')}/{name}"
         try:
             plan().write.parquet(path)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threadloom.functions.lexicon import TECH_VALENCES
 from threadloom.schemas import TERM_FILE, TERMS, VALENCES
+from threadloom.sizing import broadcast_known
 
 # Default technologies and skills as (name, aliases, weight) by category.
 TECHNOLOGIES = {
@@ -54,26 +55,23 @@ def _as_json(dictionary: dict[str, list[tuple]]) -> str:
 def flatten_terms(files: DataFrame) -> DataFrame:
     """(category, name, term, weight, term_order) of a frame with one dictionary JSON in `value`.
 
-    term_order is the position in the file: categories, their entries, then the name before its aliases. Empty
+    term_order counts all terms in the order of the file: categories, their entries, the name before its aliases. Empty
     aliases are dropped.
     """
-    entries = files.select(F.from_json("value", TERM_FILE).alias("file")).select(
-        F.posexplode(F.map_entries("file")).alias("c", "entry")
-    )
-    names = entries.select("c", F.col("entry.key").alias("category"), F.posexplode("entry.value").alias("e", "item"))
-    terms = names.select(
-        "c",
-        "e",
-        "category",
-        F.col("item.name").alias("name"),
-        F.col("item.weight").alias("weight"),
-        F.posexplode(
-            F.concat(F.array("item.name"), F.coalesce("item.aliases", F.array().cast("array<string>")))
-        ).alias("t", "term"),
-    ).where(F.coalesce("term", F.lit("")) != "")
-    return terms.select(
-        "category", "name", "term", "weight", (F.col("c") * 1_000_000 + F.col("e") * 1_000 + F.col("t")).alias("term_order")
-    )
+    categories = F.filter(F.map_entries(F.from_json("value", TERM_FILE)), lambda c: c["value"].isNotNull())
+
+    def terms_of(category: Column, item: Column) -> Column:
+        aliases = F.coalesce(item["aliases"], F.array().cast("array<string>"))
+        return F.transform(
+            F.concat(F.array(item["name"]), aliases),
+            lambda term: F.struct(
+                category["key"].alias("category"), item["name"].alias("name"), term.alias("term"), item["weight"].alias("weight")
+            ),
+        )
+
+    found = F.flatten(F.transform(categories, lambda c: F.flatten(F.transform(c["value"], lambda i: terms_of(c, i)))))
+    terms = files.select(F.posexplode(found).alias("term_order", "entry")).select("entry.*", "term_order")
+    return terms.where(F.coalesce("term", F.lit("")) != "")
 
 
 def load_term_dictionary(
@@ -121,7 +119,7 @@ def add_term(
     fresh = spark.createDataFrame(
         [(category, name, t, float(weight), i + 1) for i, t in enumerate(added)], TERMS
     ).withColumn("term_order", F.col("term_order") + last)
-    rest = terms.join(F.broadcast(fresh.select("term")), "term", "left_anti")
+    rest = terms.join(broadcast_known(fresh.select("term"), len(added)), "term", "left_anti")
     return rest.unionByName(fresh).select(*TERMS.fieldNames())
 
 
