@@ -81,12 +81,16 @@ def _multipliers(coordinates: int) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
-    """The least value of each of `coordinates` hash functions over the set, 32 bits each."""
+    """The least value of each of `coordinates` hash functions over the set.
+
+    All 64 bits are kept: the minima of a large set lie close to 0, so fewer bits would be equal by chance between
+    unlike documents, and ever more often as the table grows.
+    """
     factors = _multipliers(coordinates)
     least = np.full(coordinates, np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(shingles), 2048):
         np.minimum(least, (shingles[start : start + 2048, None] * factors).min(axis=0), out=least)
-    return (least >> np.uint64(32)).astype(np.int64)
+    return least.view(np.int64)
 
 
 def _node(shingles: np.ndarray) -> int:
@@ -111,7 +115,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, coordinates: int = COORD
 
 def prefix_postings(nodes: DataFrame, coordinates: int, matches: int) -> DataFrame:
     """(token, node): each node under the rarest of its coordinate-value pairs that others have too."""
-    tokens = nodes.select("node", F.posexplode("sig").alias("c", "v")).select("node", (F.col("c").cast("long") * (1 << 32) + F.col("v")).alias("token"))
+    tokens = nodes.select("node", F.posexplode("sig").alias("c", "v")).select("node", F.xxhash64("c", "v").alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("freq")).where("freq > 1")
     own = Window.partitionBy("node")
     ranked = tokens.join(shared, "token").select(
