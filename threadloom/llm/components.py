@@ -14,18 +14,23 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     fine; nodes without links are not returned. Rounds grow with the logarithm of the longest path.
     """
     edges = store(_oriented(links.select("a", "b")), "edges")
-    seen = None
     for _ in range(max_rounds):
-        edges = store(_small_star(_large_star(edges)), "edges")
-        state = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))"), F.expr("bit_xor(xxhash64(b, a, 7))")).first()
-        if state == seen:
+        if _are_stars(edges):
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             )
-        seen = state
+        edges = store(_small_star(_large_star(edges)), "edges")
     raise RuntimeError(f"components did not settle within {max_rounds} rounds")
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour that has none itself, which then is the smallest of its component."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("lower"), F.lit(0).alias("upper"))
+    ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("lower"), F.lit(1).alias("upper")))
+    nodes = ends.groupBy("node").agg(F.sum("lower").alias("lower"), F.max("upper").alias("upper"))
+    return nodes.where("lower > 1 or lower = 1 and upper = 1").isEmpty()
+
+
 def _oriented(edges: DataFrame) -> DataFrame:
     """Distinct edges from the larger to the smaller node."""
     return edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
