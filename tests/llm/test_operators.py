@@ -12,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from threadloom.llm import ann, bpe, components, html_text, licenses, line_dedup, near_dups, packing, quality, toxicity, urls
+import corpus_pipeline
+from threadloom.llm import ann, bpe, components, html_text, licenses, line_dedup, near_dups, packing, quality, registry, toxicity, urls
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, node string, bin string"
@@ -163,6 +164,20 @@ def test_repeated_lines_leave_and_columns_stay(spark):
     assert line_dedup.drop_repeated_lines(corpus(spark, [])).count() == 0
 
 
+def test_lines_of_any_length_are_compared(spark, tmp_path):
+    four, six = "and the is so", "one two three four five six"
+    rows = [(0, f"{four}\n{six}\nsolo"), (1, f"{four.upper()}\n{six} seven\nand the was so"), (2, f"Solo\n\n{four}"), (3, " \n"), (4, None)]
+    docs = spark.createDataFrame([(i, t, None, None, None, "k", "n", "b") for i, t in rows], DOCS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = {(r.doc_id, r.line): (r.first_doc_id, r.first_line, r.kept) for r in registry.op2_line_dedup(spark, str(tmp_path)).collect()}
+    assert found == {
+        (0, 0): (0, 0, True), (0, 1): (0, 1, True), (0, 2): (0, 2, True), (1, 0): (0, 0, False), (1, 1): (0, 1, False),
+        (1, 2): (1, 2, True), (2, 0): (0, 2, False), (2, 2): (0, 0, False),
+    }
+    left = {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(spark, docs, "").collect()}
+    assert left == {0: rows[0][1], 1: "and the was so", 3: " \n", 4: None}
+
+
 def brute_statistics(text):
     w = [x for x in re.split("[\x20\x09-\x0d]+", text or "") if x]
     windows = Counter(zip(w, w[1:], w[2:]))

@@ -1,11 +1,13 @@
 """Line deduplication within an edit bound of one word, by a deletion-neighbourhood join in DataFrame operations.
 
-Lines are \\n-split; words are runs of anything but ASCII white space, A-Z in lower case. Lines with at least MIN_WORDS
-words are checked; shorter ones are never removed. Two lines are near when one word inserted, deleted or replaced makes
-them equal. A line is removed when an equal or near line stands earlier, by (id, line number).
+Lines are \\n-split; words are runs of anything but ASCII white space, A-Z in lower case. Every line with a word is
+compared. Two lines of at least NEAR_WORDS words are near when one word inserted, deleted or replaced makes them equal;
+in shorter ones one word is a quarter or more of the line, and pairs that agree but for it do so by chance. A line is
+repeated when an equal or near line stands earlier, by (id, line number). min_words is the least number of words of the
+lines that are returned or removed; op2_line_dedup and the pipeline give 1, every line with a word.
 
 1. Equal lines become one, kept by its earliest place.
-2. A line enters the neighbourhood join only if it shares its first or last half with another one: an edit leaves one
+2. A line of NEAR_WORDS words enters the neighbourhood join only if it shares its first or last half with another one: an edit leaves one
    of the halves as it is, so this loses nothing and keeps the variants of lines without partners out of the shuffle.
 3. Each remaining line emits the hash of itself and of every variant with one word deleted. The hash of a word sequence
    is the xor of the hashes of (word, place), so all variants of a line come from running xors in one pass.
@@ -27,6 +29,8 @@ from threadloom.functions.binding import let
 from threadloom.llm.common import keys_hint, store
 
 MIN_WORDS = 8
+# Counted over sf0.1, pairs of different lines with one word replaced: 362 at 3 words, 35 at 4, 15 to 17 at 5, 6 and 7.
+NEAR_WORDS = 5
 
 _UPPER, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -63,22 +67,28 @@ def _place(prefix: str = "") -> Column:
 
 
 def judge_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, row, line, first_id, first_line, kept) of every checked line.
+    """(id, row, line, first_id, first_line, kept) of every line of at least min_words words.
 
     first_id and first_line name the earliest equal or near line, the line itself if there is none. row is the hash of
     the text, for ids that occur more than once.
     """
-    lines = _lines(docs, id_col, text_col).withColumn("n", F.size("words")).where(F.col("n") >= min_words)
+    return _judged(docs, id_col, text_col).where(F.col("n") >= min_words).drop("n")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """What judge_lines gives, of every line with a word, and the number n of its words."""
+    lines = _lines(docs, id_col, text_col).withColumn("n", F.size("words")).where("n > 0")
     hashed = lines.select(
         *PLACE, F.col("n").cast("int").alias("n"), F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(2), "words").alias("h2"),
-        _half_keys(F.col("words"), F.col("n")).alias("keys"),
+        F.when(F.col("n") >= NEAR_WORDS, _half_keys(F.col("words"), F.col("n"))).alias("keys"),
     )
     hashed = store(hashed, "line-hashes")
     # Equal lines have equal n and keys, so these may be grouped by as well; the buffers hold fixed-width values only.
     keys = [F.col("keys")[i].alias(f"k{i}") for i in range(4)]
     ranked = hashed.select(*PLACE, "n", "h1", "h2", *keys)
     firsts = ranked.groupBy("h1", "h2", "n", "k0", "k1", "k2", "k3").agg(F.min(_place()).alias("first"))
-    firsts = store(firsts.select("h1", "h2", "n", F.array("k0", "k1", "k2", "k3").alias("keys"), "first"), "first-lines")
+    keys = F.when(F.col("n") >= NEAR_WORDS, F.array("k0", "k1", "k2", "k3"))
+    firsts = store(firsts.select("h1", "h2", "n", keys.alias("keys"), "first"), "first-lines")
 
     candidates = store(_sharing_a_half(firsts), "half-partners")
     # Only documents with candidates are read again, and only their candidate lines leave the scan.
@@ -97,9 +107,9 @@ def judge_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     near = near.select(*[F.col(c).alias("_" + c) for c in PLACE], "earliest")
     same = firsts["id"].eqNullSafe(F.col("_id")) & (firsts["row"] == F.col("_row")) & (firsts["line"] == F.col("_line"))
     firsts = firsts.join(near, same, "left").select("h1", "h2", F.least("first", F.coalesce("earliest", "first")).alias("first"))
-    judged = hashed.select(*PLACE, "h1", "h2").join(firsts, ["h1", "h2"])
+    judged = hashed.select(*PLACE, "n", "h1", "h2").join(firsts, ["h1", "h2"])
     return judged.select(
-        *PLACE, F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line"), (F.col("first") == _place()).alias("kept")
+        *PLACE, "n", F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line"), (F.col("first") == _place()).alias("kept")
     )
 
 

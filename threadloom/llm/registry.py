@@ -20,8 +20,8 @@ def op1_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line of eight words or more with its earliest equal or near line."""
-    judged = line_dedup.judge_lines(table(spark, sf_dir, "documents"))
+    """Every line with a word, with its earliest equal or near line."""
+    judged = line_dedup.judge_lines(table(spark, sf_dir, "documents"), min_words=1)
     return judged.select(F.col("id").alias("doc_id"), "line", F.col("first_id").alias("first_doc_id"), "first_line", "kept")
 
 
