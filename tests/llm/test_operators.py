@@ -178,6 +178,14 @@ def test_lines_of_any_length_are_compared(spark, tmp_path):
     assert left == {0: rows[0][1], 1: "and the was so", 3: " \n", 4: None}
 
 
+@pytest.mark.parametrize("min_words", [1, line_dedup.MIN_WORDS])
+def test_short_lines_found_nowhere_else_keep_their_document(spark, min_words):
+    notice = " ".join(f"w{i}" for i in range(8))
+    docs = spark.createDataFrame([(0, f"{notice}\nfirst"), (1, f"roses are red\n\nviolets too\n{notice}"), (2, f"first\n{notice}")], "doc_id long, text string")
+    left = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(docs, min_words=min_words).collect()}
+    assert left == {0: f"{notice}\nfirst", 1: "roses are red\n\nviolets too"}
+
+
 def brute_statistics(text):
     w = [x for x in re.split("[\x20\x09-\x0d]+", text or "") if x]
     windows = Counter(zip(w, w[1:], w[2:]))

@@ -173,11 +173,12 @@ def one_word_apart(a: Column, b: Column) -> Column:
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """docs without the lines that judge_lines does not keep, all columns as they are.
 
-    A document of which lines were removed and no checked line is left is wholly a repetition and goes too.
+    A document of which lines were removed and every line with a word is repeated goes too, those of fewer than
+    min_words words included; one line of any length that is not repeated keeps it.
     """
-    judged = judge_lines(docs, id_col, text_col, min_words)
+    judged = _judged(docs, id_col, text_col)
     removed = judged.groupBy(F.col("id").alias("_id"), F.col("row").alias("_row")).agg(
-        F.collect_set(F.when(~F.col("kept"), F.col("line"))).alias("_removed"), F.max(F.col("kept").cast("int")).alias("_left")
+        F.collect_set(F.when(~F.col("kept") & (F.col("n") >= min_words), F.col("line"))).alias("_removed"), F.max(F.col("kept").cast("int")).alias("_left")
     )
     removed = store(removed.where(F.size("_removed") > 0), "removed-lines")
     total = removed.agg(F.coalesce(F.sum(F.size("_removed") + 4), F.lit(0))).first()[0]
