@@ -243,6 +243,13 @@ def test_toxicity_on_held_out_rows(spark):
     assert {r.score for r in toxicity.score_documents(docs, empty).collect()} == {0.0}
 
 
+def test_every_significant_term_is_known(spark):
+    words = [f"q{a}{b}{c}" for a in "abcdefgh" for b in "abcdefg" for c in "abcdefgh"][:400]
+    rows = [(i, " ".join(words[(5 * i + j) % 400] for j in range(5)), 1) for i in range(2000)] + [(i, "ok", 0) for i in range(2000, 4000)]
+    model = toxicity.fit(spark.createDataFrame(rows, "id long, text string, label int"))
+    assert set(words) <= set(model.terms)
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><nav><a href=x>Home</a></nav><div class="cookie-notice">We use cookies</div>
 <article><h1>Title &amp; more</h1><p>%s<p>Short.<aside>Elsewhere</aside><ul><li>One point</ul></article>
 <div id="comments"><p>%s</p></div><form><p>Sign up now</p></form><footer>&copy; us</footer><script>var a="<p>no</p>"</script>"""

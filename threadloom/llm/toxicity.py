@@ -2,16 +2,16 @@
 
 Fitting. Terms are words of letters in lower case, and word starts of 4 to 6 letters, marked with *, which catch
 compounds. Over all labelled rows, the documents of either label that hold a term are counted; terms whose counts
-differ from chance by the G statistic, in favour of either label, enter the vocabulary (at most MAX_TERMS, by G). All
+differ from chance by a G statistic of LEAST_G or more, in favour of either label, enter the vocabulary. All
 labelled rows become vectors of tf-idf weights, (1 + ln tf) * ln((1 + N) / (1 + df)) with df over the labelled rows,
 of unit length. Equal vectors become one example with the counts of both labels. The index holds at most MAX_EXAMPLES
 distinct examples, the smallest by hash: the documented bound of the sample that is searched; counts and terms cover
 all labelled rows. A held-out quarter of the labelled rows, by hash of the id, calibrates: votes are binned and the
 share of label 1 per bin, made monotone, is the score.
 
-Scoring. Postings lists are cut into blocks of BLOCK examples and each list keeps the greatest weight per block. The
-sum over a text's terms of weight times block maximum bounds the cosine of every example in a block; blocks are opened
-in falling order of the bound until it is below the K-th best cosine found, so the K nearest are exact. Votes weigh
+Scoring. Examples are cut into blocks of BLOCK and the greatest weight of each term per block is kept. The sum over a
+text's terms of weight times block maximum bounds the cosine of every example in a block. The blocks of the greatest
+bounds are opened first, then all others whose bound reaches the K-th best cosine found, so the K nearest are exact. Votes weigh
 neighbours by their cosine and by how many rows they stand for. A text without a term of the vocabulary has the share of label 1 among
 such labelled rows as its score.
 
@@ -33,10 +33,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from threadloom.llm.common import keys_hint, map_rows, store
 
-MAX_TERMS = 300
 LEAST_G = 30.0
 MAX_EXAMPLES = 5_000
 BLOCK = 64
+FIRST_BLOCKS = 3
 K = 15
 BINS = 20
 THRESHOLD = 0.3
@@ -69,7 +69,7 @@ def _known_terms(text: str | None, vocabulary: dict[str, int]) -> dict[int, int]
 
 
 class ToxicModel:
-    """Vocabulary, block-max index and calibration; sizes are bounded by MAX_TERMS and MAX_EXAMPLES."""
+    """Vocabulary, block-max index and calibration; the examples are bounded by MAX_EXAMPLES."""
 
     def __init__(self, terms: list[str], idf: list[float]):
         self.terms, self.idf = terms, np.array(idf)
@@ -90,45 +90,56 @@ class ToxicModel:
         return tuple(ids), tuple(round(w / norm, 6) for w in weights)
 
     def index(self, names, vectors, zeros, ones) -> None:
-        """Build the inverted index over examples, in the order given."""
+        """Build the block index over examples, in the order given."""
         self.names, self.zeros, self.ones = list(names), np.array(zeros, float), np.array(ones, float)
         n, t = len(self.names), len(self.terms)
         self.blocks = -(-n // BLOCK)
-        lists: list[list[tuple[int, float]]] = [[] for _ in range(t)]
-        for e, (ids, weights) in enumerate(vectors):
-            for i, w in zip(ids, weights):
-                lists[i].append((e, w))
-        self.examples = [np.array([e for e, _ in x], np.int64) for x in lists]
-        self.weights = [np.array([w for _, w in x]) for x in lists]
-        # For each list: the blocks it reaches, where each starts in the list, and the greatest weight in each.
-        self.reached, self.starts, self.most = [], [], []
-        self.at = np.full((t, self.blocks), -1)  # place of a block among those a list reaches
-        for i, (examples, weights) in enumerate(zip(self.examples, self.weights)):
-            reached, starts = np.unique(examples // BLOCK, return_index=True)
-            self.at[i, reached] = np.arange(len(reached))
-            self.reached.append(reached)
-            self.starts.append(np.append(starts, len(examples)))
-            self.most.append(np.maximum.reduceat(weights, starts) if len(weights) else weights)
+        sizes = [len(ids) for ids, _ in vectors]
+        # Entries of all examples in a row: example, term and weight; a block is one stretch of them.
+        self.example = np.repeat(np.arange(n), sizes)
+        self.term = np.array([i for ids, _ in vectors for i in ids], np.int64)
+        self.weight = np.array([w for _, weights in vectors for w in weights], float)
+        self.starts = np.searchsorted(self.example, np.arange(self.blocks + 1) * BLOCK)
+        # Greatest weight of a term in each block, rounded up to 32 bits.
+        self.most = np.zeros((t, self.blocks), np.float32)
+        up = np.nextafter(self.weight.astype(np.float32), np.float32(np.inf))
+        np.maximum.at(self.most, (self.term, self.example // BLOCK), up)
+        self.query = np.zeros(t)
 
     def nearest(self, ids, weights, k: int = K) -> list[tuple[int, float]]:
         """The k examples of greatest cosine above 0, exact, ties to the earlier example: (example, cosine)."""
-        bounds = np.zeros(self.blocks)
-        for i, w in zip(ids, weights):
-            bounds[self.reached[i]] += w * self.most[i]
+        if not self.blocks:
+            return []
+        ids, weights = np.array(ids, np.int64), np.array(weights, float)
+        bounds = weights @ self.most[ids]
         order = np.argsort(-bounds, kind="stable")
-        best: list[tuple[float, int]] = []
-        worst = 0.0
-        for block in order:
-            if bounds[block] <= 0 or len(best) >= k and bounds[block] < worst - 1e-9:
-                break
-            scores = np.zeros(BLOCK)
-            for i, w in zip(ids, weights):
-                if (at := self.at[i, block]) >= 0:
-                    part = slice(self.starts[i][at], self.starts[i][at + 1])
-                    scores[self.examples[i][part] - block * BLOCK] += w * self.weights[i][part]
-            hits = np.flatnonzero(scores > max(worst - 1e-9, 0) if len(best) >= k else scores > 0)
-            best = sorted([*best, *((round(float(scores[h]), 9), int(block * BLOCK + h)) for h in hits)], key=lambda x: (-x[0], x[1]))[:k]
-            worst = best[-1][0] if best else 0.0
+        self.query[ids] = weights
+        best = self._best(self._open(np.sort(order[:FIRST_BLOCKS])), k)
+        worst = best[-1][1] if len(best) == k else 0.0
+        rest = order[FIRST_BLOCKS:]
+        rest = rest[(bounds[rest] > 0) & (bounds[rest] >= worst - 1e-9)]
+        if len(rest):
+            best = self._best([*self._open(np.sort(rest)), (np.array([e for e, _ in best], np.int64), np.array([s for _, s in best]))], k)
+        self.query[ids] = 0.0
+        return best
+
+    def _open(self, blocks) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(examples, cosines) of blocks in order, one pair for each run of neighbouring blocks."""
+        found = []
+        for run in np.split(blocks, np.flatnonzero(np.diff(blocks) > 1) + 1):
+            part = slice(self.starts[run[0]], self.starts[run[-1] + 1])
+            first = run[0] * BLOCK
+            scores = np.bincount(self.example[part] - first, self.query[self.term[part]] * self.weight[part])
+            found.append((np.arange(first, first + len(scores)), scores))
+        return found
+
+    @staticmethod
+    def _best(found, k: int) -> list[tuple[int, float]]:
+        examples, scores = (np.concatenate(x) for x in zip(*found))
+        hits = scores > 0
+        if len(scores) > k:
+            hits &= scores >= np.partition(scores, -k)[-k] - 1e-8
+        best = sorted(((round(s, 9), e) for s, e in zip(scores[hits].tolist(), examples[hits].tolist())), key=lambda x: (-x[0], x[1]))[:k]
         return [(e, s) for s, e in best]
 
     def vote(self, ids, weights, k: int = K) -> tuple[float, list[tuple[int, float]]]:
@@ -186,7 +197,7 @@ def _g(ones: int, zeros: int) -> Column:
 
 def fit(train: DataFrame) -> ToxicModel:
     """Model of labelled rows (id, text, label). Counts are summed per task and then over terms by shuffle; only the
-    bounded vocabulary, examples and bins come to the driver."""
+    vocabulary, the bounded examples and bins come to the driver."""
     train = store(train, "labelled")
 
     def counts(rows):
@@ -206,7 +217,7 @@ def fit(train: DataFrame) -> ToxicModel:
     if not n_zero + n_one:
         return ToxicModel([], [])
     found = map_rows(train, counts, "term string, zeros long, ones long", rows=20_000).groupBy("term").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
-    top = found.withColumn("g", _g(n_one, n_zero)).where(F.col("g") >= LEAST_G).orderBy(F.desc("g"), "term").limit(MAX_TERMS).collect()
+    top = found.withColumn("g", _g(n_one, n_zero)).where(F.col("g") >= LEAST_G).orderBy(F.desc("g"), "term").collect()
     model = ToxicModel([r.term for r in top], [math.log((1 + n_one + n_zero) / (1 + r.ones + r.zeros)) for r in top])
 
     shared = train.sparkSession.sparkContext.broadcast(model)
