@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from threadloom.llm import ann, bpe, html_text, licenses, line_dedup, near_dups, oracles, packing, quality, toxicity, urls
+from threadloom.llm import ann, bpe, html_text, licenses, line_dedup, near_dups, negatives, oracles, packing, pieces, quality, toxicity, urls
 
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 
@@ -69,11 +69,22 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+def op12_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_nearest_vectors, op2_line_dedup, op3_url_filters, op4_toxicity, op5_html_text, op6_quality_rules,
         op7_bpe_round_trip, op8_license_scan, op9_packing, op10_near_duplicates,
+        op11_hard_negatives, op12_piece_round_trip,
     )
 } | {"pipeline": corpus_pipeline.run}
 
