@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from threadloom.llm import ann, bpe, html_text, licenses, line_dedup, near_dups, negatives, oracles, packing, pieces, quality, toxicity, urls
+from threadloom.llm import ann, bpe, html_text, licenses, line_dedup, near_dups, negatives, oracles, packing, pieces, quality, toxicity, urls, whitening
 
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 
@@ -79,12 +79,16 @@ def op12_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_nearest_vectors, op2_line_dedup, op3_url_filters, op4_toxicity, op5_html_text, op6_quality_rules,
         op7_bpe_round_trip, op8_license_scan, op9_packing, op10_near_duplicates,
-        op11_hard_negatives, op12_piece_round_trip,
+        op11_hard_negatives, op12_piece_round_trip, op13_whitening,
     )
 } | {"pipeline": corpus_pipeline.run}
 
