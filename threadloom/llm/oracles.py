@@ -92,18 +92,18 @@ SELECT doc_id, n_words, len(starts) AS n_base, starts[1] - 1 AS first_word, star
 FROM s
 """
 
-# Lines of eight words or more. Two different lines are near when one inserted, deleted or replaced word makes them
-# equal; such lines agree in the first or the last half of the shorter one, so pairs are formed on these only.
+# Every line with a word. Two different lines of five words or more each are near when one inserted, deleted or replaced
+# word makes them equal; such lines agree in the first or the last half of the shorter one, so pairs are formed on these only.
 LINE_DEDUP = rf"""
 WITH s AS MATERIALIZED (
   SELECT doc_id, string_split({LOWER}, chr(10)) AS parts FROM documents
 ), l AS MATERIALIZED (
   SELECT doc_id, unnest(range(len(parts))) AS line, regexp_extract_all(unnest(parts), '[^\x20\x09-\x0D]+') AS words FROM s
 ), d AS MATERIALIZED (
-  SELECT words, len(words) AS n, min({{'id': doc_id, 'line': line}}) AS place FROM l WHERE len(words) >= 8 GROUP BY words
+  SELECT words, len(words) AS n, min({{'id': doc_id, 'line': line}}) AS place FROM l WHERE len(words) >= 1 GROUP BY words
 ), halves AS (
   SELECT place, n, words, s, part, CASE part WHEN 0 THEN words[1:s // 2] ELSE words[n - (s - s // 2) + 1:n] END AS half
-  FROM d, unnest([n, n - 1]) AS x(s), unnest([0, 1]) AS y(part)
+  FROM d, unnest([n, n - 1]) AS x(s), unnest([0, 1]) AS y(part) WHERE n >= 5
 ), pairs AS (
   SELECT DISTINCT a.place AS a, b.place AS b FROM halves a JOIN halves b ON a.s = b.s AND a.part = b.part AND a.half = b.half
   WHERE a.s = a.n AND b.n IN (a.n, a.n + 1) AND a.place <> b.place
