@@ -4,10 +4,12 @@ reduced in each task before the shuffle and a key with very many copies stays ch
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from threadloom.operators.normalise import has_required
 from threadloom.sizing import broadcast_if_small
+from threadloom.sources.buckets import BucketTable
 
 POST_UPDATES = ["score", "upvote_ratio", "num_comments", "collected_utc"]
 COMMENT_UPDATES = ["score", "collected_utc"]
@@ -90,6 +92,67 @@ def upsert_full(old: DataFrame, new: DataFrame, keys: list[str], order: list[str
     return merged.select(*[F.col(c if c in keys else f"_last.{c}").alias(c) for c in columns])
 
 
+def _age(rows: DataFrame, order: list[str]) -> Column:
+    """Order of copies of a key; equal ones are told apart by all their columns."""
+    return F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], F.xxhash64(*sorted(rows.columns)).alias("tie"))
+
+
+def first_and_last(rows: DataFrame, keys: list[str], updates: list[str], order: list[str]) -> DataFrame:
+    """Per key the columns in `updates` of its latest row and all others of its first row; the order columns go."""
+    kept = [c for c in rows.columns if c not in [*keys, *updates, *order]]
+    age = _age(rows, order)
+    both = rows.groupBy(*keys).agg(F.min_by(F.struct(*kept), age).alias("_first"), F.max_by(F.struct(*updates), age).alias("_last"))
+    return both.select(*keys, *[f"_first.{c}" for c in kept], *[f"_last.{c}" for c in updates])
+
+
+def latest_rows(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Per key its whole latest row; the order columns go."""
+    rest = [c for c in rows.columns if c not in [*keys, *order]]
+    found = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), _age(rows, order)).alias("_last"))
+    return found.select(*keys, *[f"_last.{c}" for c in rest])
+
+
+def _sides(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """Both sides, one row per key each, as structs `_old` and `_new`; rows without a partner pass through the join alone."""
+    old = base.select(F.struct(*base.columns).alias("_old"))
+    new = changes.select(F.struct(*base.columns).alias("_new"))
+    same = [F.col(f"_old.{k}").eqNullSafe(F.col(f"_new.{k}")) for k in keys]
+    condition = same[0]
+    for c in same[1:]:
+        condition = condition & c
+    return old.join(new, condition, "full_outer")
+
+
+def join_partial(base: DataFrame, changes: DataFrame, keys: list[str], updates: list[str]) -> DataFrame:
+    """base with the `updates` columns of changes and the keys it lacks."""
+
+    def pick(c: str) -> Column:
+        wins, other = ("_new", "_old") if c in updates else ("_old", "_new")
+        return F.when(F.col(wins).isNotNull(), F.col(f"{wins}.{c}")).otherwise(F.col(f"{other}.{c}")).alias(c)
+
+    return _sides(base, changes, keys).select(*[pick(c) for c in base.columns])
+
+
+def join_full(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """base with the rows of changes in the place of its own and the keys it lacks."""
+    return _sides(base, changes, keys).select(F.coalesce("_new", "_old").alias("_row")).select("_row.*")
+
+
+def partial_table(path: str, schema: StructType, keys: list[str], updates: list[str], **options) -> BucketTable:
+    """A stored table whose rows keep their first version but for the columns in `updates`."""
+    return BucketTable(
+        path, schema, tuple(keys), lambda rows, order: first_and_last(rows, keys, updates, order),
+        lambda base, changes: join_partial(base, changes, keys, updates), **options,
+    )
+
+
+def full_table(path: str, schema: StructType, keys: list[str], **options) -> BucketTable:
+    """A stored table whose rows are those that came last."""
+    return BucketTable(
+        path, schema, tuple(keys), lambda rows, order: latest_rows(rows, keys, order), lambda base, changes: join_full(base, changes, keys), **options
+    )
+
+
 def merge_columns(old: DataFrame, new: DataFrame, keys: list[str], updates: list[str]) -> DataFrame:
     """Write the `updates` columns of `new` (one row per key) over `old`, adding the keys it lacks."""
     fresh = new.select(*keys, F.struct(*updates).alias("_new"))

@@ -45,3 +45,27 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     path = work_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _located(spark: SparkSession, path: str):
+    """Hadoop file system and path object, for stores that only Spark reaches."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = _located(spark, path)
+    return system.exists(place)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none when there is no such folder."""
+    system, place = _located(spark, path)
+    return [s.getPath().getName() for s in system.listStatus(place)] if system.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that is no longer read, if it is there."""
+    system, place = _located(spark, path)
+    system.delete(place, True)
