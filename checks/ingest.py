@@ -415,6 +415,23 @@ def upsert_full(spark, sf):
     return _line_out(M.upsert_full(stored, new, LINE_KEY, LINE_ORDER))
 
 
+def _stored_lines(spark, sf, make) -> DataFrame:
+    """Both sets of versions taken into a stored table, one after the other."""
+    old, new = _line_versions(spark, sf)
+    table = make(work_dir(spark, "lines"), old.schema)
+    table.apply(old, 0, LINE_ORDER)
+    table.apply(new, 1, LINE_ORDER, 0)
+    return _line_out(table.read(spark, 1))
+
+
+def upsert_partial_stored(spark, sf):
+    return _stored_lines(spark, sf, lambda path, schema: M.partial_table(path, schema, LINE_KEY, LINE_UPDATES, buckets=8))
+
+
+def upsert_full_stored(spark, sf):
+    return _stored_lines(spark, sf, lambda path, schema: M.full_table(path, schema, LINE_KEY, buckets=8, most_changes=0))
+
+
 _ORDER = ", ".join(["l_linestatus <> 'F'", *LINE_ORDER])
 _DESC = ", ".join(f"{c} DESC" for c in ["l_linestatus <> 'F'", *LINE_ORDER])
 _RANKED = f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_ORDER}) AS up,
@@ -507,6 +524,81 @@ SELECT id AS comment_id, post_id, parent_id, md5(body) AS body_md5, score FROM c
 WHERE post_id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)"""
 
 
+def _labelled(spark, sf) -> DataFrame:
+    return A.load(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("id")).distinct()
+
+
+def gate_by_filter(spark, sf):
+    """Comments whose post is stored, by the filters of the stored posts first."""
+    table = M.full_table(work_dir(spark, "posts"), struct("post_id string, note string"), ["post_id"])
+    posts = _labelled(spark, sf).select(F.col("id").alias("post_id"), F.lit("").alias("note"))
+    table.apply(posts, 0, [])
+    return table.known(A.text_comments(spark, sf)).select("comment_id", "post_id")
+
+
+GATE_BY_FILTER = """SELECT conv_id || '_' || turn AS comment_id, CAST(conv_id AS VARCHAR) AS post_id FROM conversations
+WHERE conv_id IN (SELECT doc_id FROM labels)"""
+
+
+def stream_activity_table(spark, sf):
+    """Labelled posts first, then all comments, then those of one role again."""
+    root, source, checkpoint = (work_dir(spark, n) for n in ("store", "activity-topic", "store-checkpoint"))
+    posts = R.keyed_json(_records(spark, sf).join(_labelled(spark, sf), "id", "left_semi"))
+    posts = posts.select(F.lit(U.POSTS_TOPIC).alias("topic"), "key", "value", F.lit("2024-02-01").cast("timestamp").alias("timestamp"))
+    U.apply_posts(posts, 0, root)
+    comments = _comment_envelopes(spark, sf).drop("timestamp")
+    again = comments.where(F.get_json_object("value", "$.author") == "user")
+    for day, rows in (("2024-02-01", posts.drop("timestamp")), ("2024-02-02", comments), ("2024-02-03", again)):
+        sent = rows.withColumn("timestamp", F.lit(day).cast("timestamp"))
+        sent.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(sent.schema).parquet(source)
+        U.stream_activity_table(stream, root, checkpoint).awaitTermination()
+    return U.stored_activity(spark, root).select(
+        "username", "post_count", "comment_count", A.stamp("first_seen").alias("first_seen"), A.stamp("last_seen").alias("last_seen")
+    )
+
+
+STREAM_ACTIVITY_TABLE = f"""WITH {TEXT_RECORDS}, {COMMENT_RECORDS}, known AS (SELECT CAST(doc_id AS VARCHAR) AS id FROM labels),
+sent AS (
+  SELECT author, true AS is_post, TIMESTAMP '2024-02-01' AS received FROM text_records WHERE id IN (FROM known) AND author IS NOT NULL
+  UNION ALL SELECT author, false, TIMESTAMP '2024-02-02' FROM comment_records WHERE post_id IN (FROM known)
+  UNION ALL SELECT author, false, TIMESTAMP '2024-02-03' FROM comment_records WHERE post_id IN (FROM known) AND author = 'user')
+SELECT author AS username, count(*) FILTER (is_post) AS post_count, count(*) FILTER (NOT is_post) AS comment_count,
+  {stamp('min(received)')} AS first_seen, {stamp('max(received)')} AS last_seen FROM sent GROUP BY author"""
+
+_SPLIT = "1995-01-01"
+
+
+def stream_closed_weeks(spark, sf):
+    """Two thirds of the orders before 1995, then the other third, then all later ones."""
+    root, source, checkpoint = (work_dir(spark, n) for n in ("weeks", "mention-rows", "weeks-checkpoint"))
+    posts = A.trade_posts(spark, sf).select("post_id", "created_date", "subreddit_id")
+    rows = posts.join(A.trade_analysis(spark, sf).where("tech_mentioned IS NOT NULL").select("post_id", "tech_mentioned"), "post_id")
+    early, third = F.col("created_date") < F.lit(_SPLIT).cast("timestamp"), F.col("post_id").cast("bigint") % 3 == 0
+    for part in (early & ~third, early & third, ~early):
+        sent = rows.where(part).drop("post_id")
+        sent.write.mode("append").parquet(source)
+        U.stream_closed_weeks(spark.readStream.schema(sent.schema).parquet(source), root, checkpoint).awaitTermination()
+    late = U.late_rows(spark, root, sent.schema).select(
+        F.date_trunc("week", "created_date").cast("date").alias("week_start"), F.explode("tech_mentioned").alias("tech_name"), "subreddit_id"
+    )
+    late = late.groupBy("week_start", "tech_name", "subreddit_id").agg(F.count("*").alias("mention_count"))
+    parts = {"final": U.closed_weeks(spark, root), "late": late, "pending": U.pending_weeks(root).read(spark)}
+    out = [f.select(F.lit(kind).alias("kind"), "tech_name", "week_start", "subreddit_id", "mention_count") for kind, f in parts.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+STREAM_CLOSED_WEEKS = f"""WITH {TRADE}, rows AS (
+  SELECT p.created_date, p.subreddit_id, a.tech_mentioned, p.created_date >= TIMESTAMP '{_SPLIT}' AS third,
+    CAST(p.post_id AS BIGINT) % 3 = 0 AS second FROM posts p JOIN analysis a USING (post_id) WHERE a.tech_mentioned IS NOT NULL),
+marks AS (SELECT max(created_date) FILTER (NOT third AND NOT second) - INTERVAL 14 DAYS AS one, max(created_date) - INTERVAL 14 DAYS AS last FROM rows),
+kinds AS (
+  SELECT unnest(tech_mentioned) AS tech_name, CAST(date_trunc('week', created_date) AS DATE) AS week_start, subreddit_id,
+    CASE WHEN NOT third AND second AND date_trunc('week', created_date) + INTERVAL 7 DAYS <= one THEN 'late'
+      WHEN date_trunc('week', created_date) + INTERVAL 7 DAYS <= last THEN 'final' ELSE 'pending' END AS kind FROM rows, marks)
+SELECT kind, tech_name, week_start, subreddit_id, count(*) AS mention_count FROM kinds GROUP BY ALL"""
+
+
 def _messages(spark, sf) -> DataFrame:
     events = A.load(spark, sf, "events")
     return events.select(
@@ -570,10 +662,15 @@ QUERIES = {
     "referential_gate": (referential_gate, GATE),
     "upsert_partial": (upsert_partial, UPSERT_PARTIAL),
     "upsert_full": (upsert_full, UPSERT_FULL),
+    "upsert_partial_stored": (upsert_partial_stored, UPSERT_PARTIAL),
+    "upsert_full_stored": (upsert_full_stored, UPSERT_FULL),
+    "gate_by_filter": (gate_by_filter, GATE_BY_FILTER),
     "load_stats": (load_stats, LOAD_STATS),
     "dead_letter": (dead_letter, DEAD_LETTER),
     "stream_upsert_posts": (stream_upsert_posts, STREAM_POSTS),
     "stream_upsert_comments": (stream_upsert_comments, STREAM_COMMENTS),
     "stream_user_activity": (stream_user_activity, STREAM_ACTIVITY),
+    "stream_activity_table": (stream_activity_table, STREAM_ACTIVITY_TABLE),
+    "stream_closed_weeks": (stream_closed_weeks, STREAM_CLOSED_WEEKS),
     "stream_weekly_mentions": (stream_weekly_mentions, STREAM_WEEKLY),
 }

@@ -21,7 +21,8 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from threadloom.sizing import exists, list_names, remove
 
-BUCKETS = 64
+# Choose as many buckets as make one a few hundred MB; each is rewritten whole.
+BUCKETS = 16
 MOST_CHANGES = 8
 # Words of a bucket's filter. Only those with a key are stored; up to six keys a word let some 3 % of absent keys through.
 FILTER_WORDS = 1 << 16

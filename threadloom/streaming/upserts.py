@@ -1,8 +1,10 @@
 """Streams of posts and comments into keyed tables.
 
-A keyed table is a folder of change rows, one sub-folder per micro-batch (`batch_id=N`). A batch that is run again
-replaces its own sub-folder, so redelivery after a failure changes nothing. A batch costs as much as it holds: stored
-rows are not rewritten. Reading folds all changes with upsert_partial; compact() writes the fold as a new table.
+Posts, comments, subreddits and author counts are bucketed tables (sources.buckets) whose version is the number of the
+micro-batch: batch N makes version N out of version N - 1. A batch that runs again replaces its own version, so redelivery
+after a failure changes nothing; it writes only what it holds, and a bucket with many changes is rewritten by the batch
+that finds it so. A table belongs to one checkpoint. Comments are let through by the posts' filters, so a batch opens
+only the buckets of posts that its comments may belong to.
 """
 
 from __future__ import annotations
@@ -10,93 +12,94 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, LongType, StructType, TimestampType
-
-from threadloom.operators.merge import (
-    COMMENT_UPDATES,
-    POST_UPDATES,
-    lookup_dimension,
-    referential_gate,
-    upsert_dimension,
-    upsert_partial,
-)
+from pyspark.sql.types import IntegerType, StructType
+
+from threadloom.operators.merge import COMMENT_UPDATES, POST_UPDATES, full_table, lookup_dimension, partial_table, upsert_dimension
 from threadloom.operators.normalise import comment_rows, known_authors, post_rows
 from threadloom.schemas import COMMENT_RECORD, POST_RECORD, struct
+from threadloom.sources.buckets import BucketTable
 from threadloom.sources.records import dead_letters, decode_messages, well_formed
 
 POSTS_TOPIC, COMMENTS_TOPIC = "posts", "comments"
 DIMENSION = struct("subreddit_id int, name string")
+ACTIVITY = struct("username string, post_count bigint, comment_count bigint, first_seen timestamp, last_seen timestamp")
 
 
-def read_changes(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All change rows with their batch_id; none when nothing was written yet."""
-    spec = StructType(list(schema)).add("batch_id", LongType())
-    try:
-        return spark.read.schema(spec).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], spec)
+def post_table(spark: SparkSession, root: str, **options) -> BucketTable:
+    rows = post_rows(spark.createDataFrame([], POST_RECORD)).drop("subreddit")
+    schema = StructType(list(rows.schema)).add("subreddit_id", IntegerType())
+    return partial_table(f"{root}/posts", schema, ["post_id"], POST_UPDATES, **options)
 
 
-def write_changes(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Write one batch; the same batch again replaces what it wrote before."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def comment_table(spark: SparkSession, root: str, **options) -> BucketTable:
+    schema = comment_rows(spark.createDataFrame([], COMMENT_RECORD)).schema
+    return partial_table(f"{root}/comments", schema, ["comment_id"], COMMENT_UPDATES, **options)
 
 
-def current_rows(changes: DataFrame, keys: list[str], updates: list[str]) -> DataFrame:
-    """Fold change rows into one row per key: later batches and later `received` win for the update columns."""
-    none = changes.limit(0).drop("batch_id", "received")
-    return upsert_partial(none, changes, keys, updates, ["batch_id", "received"]).drop("batch_id", "received")
+def subreddit_table(root: str) -> BucketTable:
+    return full_table(f"{root}/subreddits", DIMENSION, ["name"], buckets=4, filtered=False)
 
 
-def compact(changes: DataFrame, path: str, keys: list[str], updates: list[str]) -> None:
-    """Write the folded table to a new folder as batch -1; streams then continue on that folder."""
-    folded = current_rows(changes, keys, updates).withColumn("received", F.lit(None).cast("timestamp"))
-    write_changes(folded, path, -1)
+def _sum_activity(rows: DataFrame, order: list[str]) -> DataFrame:
+    sums = [F.sum(c).alias(c) for c in ("post_count", "comment_count")]
+    return rows.groupBy("username").agg(*sums, F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
 
 
-def _post_changes(spark: SparkSession) -> StructType:
-    rows = post_rows(spark.createDataFrame([], POST_RECORD)).drop("subreddit")
-    return StructType(list(rows.schema)).add("subreddit_id", IntegerType()).add("received", TimestampType())
+def activity_table(root: str, **options) -> BucketTable:
+    return BucketTable(f"{root}/activity", ACTIVITY, ("username",), _sum_activity, filtered=False, **options)
 
 
-def _comment_changes(spark: SparkSession) -> StructType:
-    return StructType(list(comment_rows(spark.createDataFrame([], COMMENT_RECORD)).schema)).add(
-        "received", TimestampType()
-    )
+def version_before(spark: SparkSession, table: BucketTable, batch_id: int) -> int | None:
+    """The version that batch_id goes on from."""
+    if batch_id == 0:
+        last = table.latest(spark)
+        if last:
+            raise ValueError(f"{table.path} was written by another checkpoint, up to batch {last}")
+        return None
+    if not table.complete(spark, batch_id - 1):
+        raise ValueError(f"{table.path} has no batch {batch_id - 1}, which the checkpoint has")
+    return batch_id - 1
+
+
+def _advance(table: BucketTable, rows: DataFrame, batch_id: int, order: list[str]) -> None:
+    table.apply(rows, batch_id, order, version_before(rows.sparkSession, table, batch_id))
+
+
+def write_rejects(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Write one batch's rejects; the same batch again replaces what it wrote before."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def stored_posts(spark: SparkSession, root: str) -> DataFrame:
-    return current_rows(read_changes(spark, f"{root}/posts", _post_changes(spark)), ["post_id"], POST_UPDATES)
+    return post_table(spark, root).read(spark)
 
 
 def stored_comments(spark: SparkSession, root: str) -> DataFrame:
-    return current_rows(
-        read_changes(spark, f"{root}/comments", _comment_changes(spark)), ["comment_id"], COMMENT_UPDATES
-    )
+    return comment_table(spark, root).read(spark)
 
 
 def stored_subreddits(spark: SparkSession, root: str) -> DataFrame:
-    return read_changes(spark, f"{root}/subreddits", DIMENSION).select("subreddit_id", "name")
+    return subreddit_table(root).read(spark)
+
+
+def stored_activity(spark: SparkSession, root: str) -> DataFrame:
+    return activity_table(root).read(spark)
 
 
 def apply_posts(envelopes: DataFrame, batch_id: int, root: str, topic: str = POSTS_TOPIC) -> None:
     spark = envelopes.sparkSession
     decoded = decode_messages(envelopes, topic, POST_RECORD)
     rows = post_rows(well_formed(decoded), ["id"], "received")
-    # A batch run again must not see the ids it gave the first time, or it would write an empty sub-folder.
-    known = read_changes(spark, f"{root}/subreddits", DIMENSION)
-    known = known.where(F.col("batch_id") != batch_id).select("subreddit_id", "name")
-    grown = upsert_dimension(known, rows.select(F.col("subreddit").alias("name")))
-    fresh = grown.join(known, "subreddit_id", "left_anti").select("subreddit_id", "name")
-    write_changes(fresh, f"{root}/subreddits", batch_id)
-    dim = stored_subreddits(spark, root)
-    write_changes(lookup_dimension(rows, dim), f"{root}/posts", batch_id)
-    write_changes(dead_letters(decoded), f"{root}/rejected_posts", batch_id)
+    names = subreddit_table(root)
+    # A batch run again must not see the ids it gave the first time.
+    before = version_before(spark, names, batch_id)
+    known = names.read(spark, before) if before is not None else spark.createDataFrame([], DIMENSION)
+    fresh = upsert_dimension(known, rows.select(F.col("subreddit").alias("name"))).join(known, "subreddit_id", "left_anti")
+    names.apply(fresh.select("subreddit_id", "name"), batch_id, [], before)
+    _advance(post_table(spark, root), lookup_dimension(rows, names.read(spark, batch_id)), batch_id, ["received"])
+    write_rejects(dead_letters(decoded), f"{root}/rejected_posts", batch_id)
 
 
 def apply_comments(envelopes: DataFrame, batch_id: int, root: str, topic: str = COMMENTS_TOPIC) -> None:
@@ -104,9 +107,24 @@ def apply_comments(envelopes: DataFrame, batch_id: int, root: str, topic: str =
     spark = envelopes.sparkSession
     decoded = decode_messages(envelopes, topic, COMMENT_RECORD)
     rows = comment_rows(well_formed(decoded), ["id"], "received")
-    posts = read_changes(spark, f"{root}/posts", _post_changes(spark))
-    write_changes(referential_gate(rows, posts), f"{root}/comments", batch_id)
-    write_changes(dead_letters(decoded), f"{root}/rejected_comments", batch_id)
+    _advance(comment_table(spark, root), post_table(spark, root).known(rows), batch_id, ["received"])
+    write_rejects(dead_letters(decoded), f"{root}/rejected_comments", batch_id)
+
+
+def apply_activity(envelopes: DataFrame, batch_id: int, root: str) -> None:
+    """Add the posts and comments of both topics to the counts of their authors.
+
+    A comment counts when its post is stored, or came in the same batch. Authors that are null, empty or deleted have no
+    counts. A message that comes again in a later batch counts again; a batch that runs again does not.
+    """
+    spark = envelopes.sparkSession
+    posts = post_rows(well_formed(decode_messages(envelopes, POSTS_TOPIC, POST_RECORD)), None, "received")
+    comments = comment_rows(well_formed(decode_messages(envelopes, COMMENTS_TOPIC, COMMENT_RECORD)), None, "received")
+    table = post_table(spark, root)
+    fresh = posts.select("post_id").distinct()
+    known = table.known(comments.join(fresh, "post_id", "left_anti")).unionByName(comments.join(fresh, "post_id", "left_semi"))
+    both = posts.select("author", "received", F.lit(True).alias("is_post")).unionByName(known.select("author", "received", F.lit(False).alias("is_post")))
+    _advance(activity_table(root), user_activity_counts(both), batch_id, [])
 
 
 def _start(
@@ -136,6 +154,11 @@ def stream_upsert_comments(
     return _start(envelopes, partial(apply_comments, root=root, topic=topic), checkpoint, trigger)
 
 
+def stream_activity_table(envelopes: DataFrame, root: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Start the counts of authors over both topics, behind the posts stored in root."""
+    return _start(envelopes, partial(apply_activity, root=root), checkpoint, trigger)
+
+
 def user_activity_counts(messages: DataFrame) -> DataFrame:
     """Running counts per author over (author, is_post, received): every message counts, also a repeated one.
 
@@ -171,3 +194,81 @@ def weekly_mentions(rows: DataFrame, delay: str = "14 days") -> DataFrame:
         .agg(F.count("*").alias("mention_count"))
         .select("tech_name", F.col("week.start").cast("date").alias("week_start"), "subreddit_id", "mention_count")
     )
+
+
+PENDING = struct("week_start date, tech_name string, subreddit_id int, mention_count bigint")
+
+
+def _sum_mentions(rows: DataFrame, order: list[str]) -> DataFrame:
+    return rows.groupBy("week_start", "tech_name", "subreddit_id").agg(F.sum("mention_count").alias("mention_count"))
+
+
+def week_number(week_start: str = "week_start") -> Column:
+    """Weeks since the first Monday after the epoch."""
+    return ((F.unix_date(week_start) - 4) / 7).cast("int")
+
+
+def pending_weeks(root: str, **options) -> BucketTable:
+    """Counts of weeks that may still grow, one bucket a week."""
+    return BucketTable(
+        f"{root}/pending", PENDING, ("week_start", "tech_name", "subreddit_id"), _sum_mentions, bucket=week_number(), filtered=False, **options
+    )
+
+
+CLOCK = struct("watermark timestamp")
+
+
+def _watermark(spark: SparkSession, root: str, version: int | None) -> int | None:
+    """Microseconds since the epoch."""
+    return None if version is None else spark.read.schema(CLOCK).parquet(f"{root}/clock/version={version}").select(F.unix_micros("watermark")).first()[0]
+
+
+def _over(mark: int | None) -> Column:
+    """True for weeks whose end the watermark has reached."""
+    if mark is None:
+        return F.lit(False)
+    return F.coalesce(F.date_add("week_start", 7).cast("timestamp") <= F.timestamp_micros(F.lit(mark)), F.lit(False))
+
+
+def apply_weeks(rows: DataFrame, batch_id: int, root: str, delay: str = "14 days") -> None:
+    """Count the mentions of a batch of (created_date, tech_mentioned, subreddit_id) and close the weeks that are over.
+
+    The watermark is the latest created_date of all batches so far, less the delay. A week closes with the first batch
+    whose watermark reaches its end: its counts go to `weeks` once, and leave the pending counts. Rows of weeks closed by
+    an earlier batch, and rows without a date, go to `late` as they came.
+    """
+    spark = rows.sparkSession
+    table = pending_weeks(root)
+    before = version_before(spark, table, batch_id)
+    mark = _watermark(spark, root, before)
+    dated = rows.withColumn("week_start", F.date_trunc("week", "created_date").cast("date"))
+    late = F.col("week_start").isNull() | _over(mark)
+    write_rejects(dated.where(late).drop("week_start"), f"{root}/late", batch_id)
+
+    newest = rows.agg(F.unix_micros(F.max("created_date") - F.expr(f"INTERVAL {delay}"))).first()[0]
+    mark = max((m for m in (mark, newest) if m is not None), default=None)
+    open_rows = dated.where(~late).select("week_start", F.explode("tech_mentioned").alias("tech_name"), "subreddit_id")
+    counts = open_rows.withColumn("mention_count", F.lit(1).cast("long"))
+    stored = [(e.bucket,) for e in table.entries(spark, before)]
+    weeks = spark.createDataFrame(stored, "number int").distinct().withColumn("week_start", F.date_from_unix_date(F.col("number") * 7 + 4))
+    closed = {r.number for r in weeks.where(_over(mark)).toLocalIterator()}
+    final = counts.where(_over(mark)).unionByName(table.read(spark, before, closed)) if closed else counts.where(_over(mark))
+    write_rejects(_sum_mentions(final, []), f"{root}/weeks", batch_id)
+    table.apply(counts.where(~_over(mark)), batch_id, [], before, closed)
+    clock = spark.createDataFrame([(mark,)], "mark bigint").select(F.timestamp_micros("mark").alias("watermark"))
+    clock.coalesce(1).write.mode("overwrite").parquet(f"{root}/clock/version={batch_id}")
+
+
+def closed_weeks(spark: SparkSession, root: str) -> DataFrame:
+    """Counts that are final."""
+    return spark.read.schema(PENDING).parquet(f"{root}/weeks").select(*PENDING.names)
+
+
+def late_rows(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """Rows that came after their week was closed, or without a date."""
+    return spark.read.schema(schema).parquet(f"{root}/late").select(*schema.names)
+
+
+def stream_closed_weeks(rows: DataFrame, root: str, checkpoint: str, delay: str = "14 days", trigger: dict | None = None) -> StreamingQuery:
+    """Start the weekly counts that are final: each week is written once."""
+    return _start(rows, partial(apply_weeks, root=root, delay=delay), checkpoint, trigger)
