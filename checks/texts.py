@@ -142,6 +142,29 @@ def exact_mentions(spark, sf):
 EXACT = f"""WITH {BOTH} SELECT post_id, array_to_string({mentions_of('lower(text)', TERM_PAIRS)}, '|') AS names FROM both_texts"""
 
 
+def _benchmark_words(spark, sf) -> list[tuple[str, str]]:
+    """Every word of four letters or more of the benchmark, as a dictionary too large for the plan."""
+    words = A.load(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{4,})"), 1)).alias("w"))
+    return [(r.w, r.w) for r in words.distinct().orderBy("w").toLocalIterator()]
+
+
+def exact_mentions_dictionary(spark, sf):
+    names = X.exact_mentions(F.col("text"), _benchmark_words(spark, sf), plan_terms=0)
+    found = pages_and_documents(spark, sf).select("post_id", names.alias("names"))
+    return found.select("post_id", F.size("names").alias("n_names"), A.digest(A.joined("names")).alias("names_md5"))
+
+
+EXACT_DICTIONARY = f"""WITH {BOTH}, words AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{{4,}}')) AS w FROM benchmark),
+found AS (SELECT post_id, w FROM both_texts JOIN words ON contains(lower(text), w))
+SELECT post_id, CAST(count(w) AS INTEGER) AS n_names, md5(coalesce(string_agg(w, '|' ORDER BY w), '')) AS names_md5
+FROM both_texts LEFT JOIN found USING (post_id) GROUP BY post_id"""
+
+
+def clean_sentiment_automaton(spark, sf):
+    rows = pages_and_documents(spark, sf)
+    return rows.select("post_id", A.digest(X.clean_for_sentiment(F.col("text"), WORDS, plan_terms=0)).alias("clean_md5"))
+
+
 def clean_sentiment_text(spark, sf):
     rows = pages_and_documents(spark, sf)
     return rows.select("post_id", A.digest(X.clean_for_sentiment(F.col("text"), WORDS)).alias("clean_md5"))
@@ -526,6 +549,8 @@ QUERIES = {
     "fuzzy_tech_mentions": (fuzzy_tech_mentions, None),
     "fuzzy_skill_mentions": (fuzzy_skill_mentions, None),
     "exact_mentions": (exact_mentions, EXACT),
+    "exact_mentions_dictionary": (exact_mentions_dictionary, EXACT_DICTIONARY),
+    "clean_sentiment_automaton": (clean_sentiment_automaton, CLEAN_SENTIMENT),
     "clean_sentiment_text": (clean_sentiment_text, CLEAN_SENTIMENT),
     "valence_compound": (valence_compound, VALENCE),
     "polarity_subjectivity": (polarity_subjectivity, POLARITY),

@@ -110,6 +110,40 @@ def test_preview_and_link(spark):
     assert one(spark, X.permalink_url(lit("/r/a"))).endswith("/r/a")
 
 
+def awkward_texts():
+    generator = random.Random(8)
+    parts = ["ab", "abc", "bcd", "c", "İ", "A", "AB", "\n", " ", "😀", "ß", "x"]
+    return ["".join(generator.choice(parts) for _ in range(generator.randint(0, 12))) for _ in range(300)] + ["", None, "ab" * 20_000]
+
+
+def test_automaton_and_plan_find_the_same_names(spark):
+    terms = [("ab", "one"), ("abc", "one"), ("bcd", "two"), ("b", "three"), ("😀", "four"), ("ss", "five"), ("ab", "six")]
+    df = spark.createDataFrame([(t,) for t in awkward_texts()], "text string")
+    for pairs in (terms, [*terms, ("", "always")], [("", "always")]):
+        both = df.select(X.exact_mentions(F.col("text"), pairs).alias("a"), X.exact_mentions(F.col("text"), pairs, 0).alias("b")).collect()
+        # A NULL text has no names either way.
+        assert [r.a for r in both] == [r.b for r in both]
+
+
+def test_automaton_and_pattern_set_the_same_words_apart(spark):
+    words = ["ab", "ABC", "bcd", "c", "ß", "bx"]
+    df = spark.createDataFrame([(t,) for t in awkward_texts()], "text string")
+    both = df.select(X.clean_for_sentiment(F.col("text"), words).alias("a"), X.clean_for_sentiment(F.col("text"), words, 0).alias("b")).collect()
+    assert [r.a for r in both] == [r.b for r in both]
+
+
+def test_large_dictionaries_keep_the_plan_small(spark):
+    df = spark.createDataFrame([("we use term77777 and term5 here",)], "text string")
+
+    def plan(n):
+        found = df.select(X.exact_mentions(F.col("text"), [(f"term{i} ", f"n{i}") for i in range(n)]).alias("x"))
+        return found, found._jdf.queryExecution().toString()
+
+    (large, text), (_, small) = plan(100_000), plan(60)
+    assert large.first().x == ["n5", "n77777"]
+    assert abs(len(text) - len(small)) < 200
+
+
 def test_fuzzy_equals_brute_force():
     generator = random.Random(5)
     terms = ["flink", "hive", "apache hive", "data model", "pig", "postgresql"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from threadloom.functions.automaton import automaton_mentions, automaton_set_apart
 from threadloom.functions.binding import let
 
 # English stop words without apostrophes and longer than two letters (shorter tokens are dropped).
@@ -101,13 +102,19 @@ def null_if_empty(items: Column) -> Column:
     return let(items, lambda x: F.when(F.size(x) > 0, x))
 
 
-def exact_mentions(text: Column, terms: list[tuple[str, str]]) -> Column:
+# Up to this many terms are expressions of the plan; more are one automaton, to the same results.
+PLAN_TERMS = 50
+
+
+def exact_mentions(text: Column, terms: list[tuple[str, str]], plan_terms: int = PLAN_TERMS) -> Column:
     """Distinct canonical names, sorted, whose term occurs in the lower-cased text.
 
     `terms` is a dictionary of (lower-cased term, name) pairs that has passed a size check.
     """
     if not terms:
         return F.array().cast("array<string>")
+    if len(terms) > plan_terms:
+        return automaton_mentions(F.lower(text), terms)
     found = let(
         F.lower(text), lambda low: F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(n)) for t, n in terms])
     )
@@ -119,14 +126,16 @@ def quote_pattern(term: str) -> str:
     return "".join(c if c.isalnum() or c in " _" else "\\" + c for c in term)
 
 
-def clean_for_sentiment(text: Column, single_words: list[str] | None = None) -> Column:
+def clean_for_sentiment(text: Column, single_words: list[str] | None = None, plan_terms: int = PLAN_TERMS) -> Column:
     """Text made ready for scoring: code and links replaced by marks, tags dropped, dictionary words set apart,
     punctuation other than !?.,;:() blanked, smileys spelled out, spaces squeezed."""
     out = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?s)```.*?```", " CODE_BLOCK ")
     out = F.regexp_replace(out, r"(?d)`.*?`", " CODE_SNIPPET ")
     out = F.regexp_replace(out, rf"http[^{SPACE}]+|www[^{SPACE}]+", " URL ")
     out = F.regexp_replace(out, r"(?d)<.*?>", "")
-    if single_words:
+    if single_words and len(single_words) > plan_terms:
+        out = automaton_set_apart(out, single_words)
+    elif single_words:
         longest_first = sorted(set(single_words), key=lambda w: (-len(w), w))
         out = F.regexp_replace(out, "(?i)(" + "|".join(map(quote_pattern, longest_first)) + ")", " $1 ")
     out = F.regexp_replace(out, rf"[^\p{{L}}\p{{N}}_{SPACE}!?.,;:()]", " ")
