@@ -265,3 +265,66 @@ contexts AS (SELECT post_id, tech_name, created_date, post_id || '/' || tech_nam
 {scored("contexts")},
 tech_scores AS (SELECT post_id, tech_name, created_date, txt AS context, ensemble AS score
   FROM contexts JOIN scored USING (key))"""
+
+
+def dictionary_pairs(dictionary: dict) -> list[tuple[str, str]]:
+    """(term, name) of a dictionary of (name, aliases, weight) by category, the last name of a term counting."""
+    pairs: dict[str, str] = {}
+    for items in dictionary.values():
+        for name, aliases, _ in items:
+            for term in [name, *aliases]:
+                pairs[term] = name
+    return list(pairs.items())
+
+
+def fuzzy(prefix: str, texts: str, pairs: list[tuple[str, str]]) -> str:
+    """Named tables that end in {prefix}names (post_id, names): of the five best terms with a score of 80 or more against
+    `texts` (post_id, low). Terms have two letters or more.
+
+    A window of a text that scores so has all but a fifth of the term's letters, so it keeps at least
+    length - 1 - 3 * (letters lacking) of the term's pairs of neighbours; windows over an end of the text hold two thirds of
+    its letters. The common subsequence of these windows is counted by bits: a bit is 0 where a prefix of the term has
+    one letter more in common with the window than the prefix before it.
+    """
+    rows = values([(i, t, n) for i, (t, n) in enumerate(pairs)], "idx, term, name")
+    steps = f"(SELECT *, every AS s FROM {prefix}bits)"
+    for k in range(1, max(len(t) for t, _ in pairs) + 1):
+        met = f"(s & coalesce(places[{k}], 0))"
+        steps = f"(SELECT * REPLACE (((s + {met}) | (s - {met})) & every AS s) FROM {steps})"
+    top = max(len(t) for t, _ in pairs)
+    return rf"""{prefix}ends AS MATERIALIZED (
+  SELECT post_id, length(low) AS n, regexp_extract_all(low[1:{top}], '(?s).') AS head, regexp_extract_all(low[greatest(length(low) - {top} + 1, 1):length(low)], '(?s).') AS tail
+  FROM {texts} WHERE low <> ''),
+{prefix}terms AS MATERIALIZED (
+  SELECT idx, name, term, letters, len(letters) AS m, len(letters) - 1 - 3 * (len(letters) - CAST(ceil(0.8 * len(letters) - 1e-9) AS INTEGER)) AS least
+  FROM (SELECT *, regexp_extract_all(term, '(?s).') AS letters FROM {rows})),
+{prefix}pairs AS MATERIALIZED (SELECT DISTINCT idx, m, least, unnest(list_transform(range(1, m), lambda i: letters[i] || letters[i + 1])) AS pair FROM {prefix}terms),
+{prefix}places AS MATERIALIZED (
+  SELECT post_id, n, p, substring(low, p, {top}) AS ahead FROM (SELECT post_id, low, length(low) AS n, unnest(range(1, length(low))) AS p FROM {texts} WHERE low <> '')),
+{prefix}hits AS (
+  SELECT idx, post_id, n, m, p, lead(p, least - 1) OVER (PARTITION BY idx, post_id ORDER BY p) AS last
+  FROM {prefix}places x JOIN {prefix}pairs y ON y.pair = substring(x.ahead, 1, 2) WHERE n > m),
+{prefix}inner AS (
+  SELECT DISTINCT idx, post_id, unnest(range(greatest(last - m + 2, 1), least(p, n - m + 1) + 1)) AS p FROM {prefix}hits WHERE last - p <= m - 2),
+{prefix}windows AS MATERIALIZED (
+  SELECT idx, post_id, term AS short, substring(ahead, 1, m) AS part FROM {prefix}inner JOIN {prefix}terms USING (idx) JOIN {prefix}places USING (post_id, p)
+  UNION ALL
+  SELECT idx, post_id, term, array_to_string(CASE WHEN at_end THEN tail[len(tail) - w + 1:len(tail)] ELSE head[1:w] END, '')
+  FROM (SELECT *, unnest(range(CAST(ceil(2 * m / 3) AS BIGINT), m)) AS w FROM {prefix}terms) JOIN {prefix}ends ON n > m, (VALUES (true), (false)) AS e(at_end)
+  UNION ALL
+  SELECT idx, post_id, array_to_string(short, ''), array_to_string(long[greatest(start, 1):start + len(short) - 1], '') FROM (
+    SELECT idx, post_id, short, long, unnest(range(2 - len(short), len(long) + 1)) AS start FROM (
+      SELECT idx, post_id, head AS short, letters AS long FROM {prefix}terms JOIN {prefix}ends ON n <= m
+      UNION ALL SELECT idx, post_id, letters, head FROM {prefix}terms JOIN {prefix}ends ON n = m))),
+{prefix}letters AS MATERIALIZED (
+  SELECT short, letter, CAST(sum(1::BIGINT << (i - 1)) AS BIGINT) AS bits
+  FROM (SELECT short, unnest(regexp_extract_all(short, '(?s).')) AS letter, generate_subscripts(regexp_extract_all(short, '(?s).'), 1) AS i FROM (SELECT DISTINCT short FROM {prefix}windows))
+  GROUP BY short, letter),
+{prefix}bits AS MATERIALIZED (
+  SELECT short, part, list(coalesce(bits, 0) ORDER BY k) AS places, length(short) AS size, (1::BIGINT << length(short)) - 1 AS every
+  FROM (SELECT short, part, unnest(regexp_extract_all(part, '(?s).')) AS letter, generate_subscripts(regexp_extract_all(part, '(?s).'), 1) AS k
+    FROM (SELECT DISTINCT short, part FROM {prefix}windows)) LEFT JOIN {prefix}letters USING (short, letter) GROUP BY short, part),
+{prefix}common AS MATERIALIZED (SELECT short, part, 200.0::DOUBLE * (size - bit_count(s)) / (size + length(part)) AS score FROM {steps}),
+{prefix}scores AS (SELECT idx, post_id, max(score) AS score FROM {prefix}windows JOIN {prefix}common USING (short, part) WHERE score >= 80 GROUP BY idx, post_id),
+{prefix}best AS (SELECT * FROM {prefix}scores QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY score DESC, idx) <= 5),
+{prefix}names AS (SELECT post_id, string_agg(DISTINCT name, '|' ORDER BY name) AS names FROM {prefix}best JOIN {prefix}terms USING (idx) GROUP BY post_id)"""

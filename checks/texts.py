@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks import adapters as A
 from checks.sql import (
     BANDS, COMMENT_RECORDS, SKILL_PAIRS, TERM_PAIRS, TEXT_MENTIONS, TEXT_RECORDS, TRADE, WORDS, clean, grams, markup_free,
-    mentions_of, r6, scored, sentences, tokens, top_counted, values,
+    mentions_of, r6, scored, sentences, tokens, top_counted, values, dictionary_pairs, fuzzy as fuzzy_steps,
 )
 from threadloom.functions import fuzzy, lexicon as L, text as X
 from threadloom.operators import features as F1, sentiment as S
@@ -133,6 +133,15 @@ def fuzzy_skill_mentions(spark, sf):
     return found.select("post_id", A.joined("names").alias("names"))
 
 
+def _fuzzy_sql(pairs: list[tuple[str, str]]) -> str:
+    return f"""WITH {BOTH}, lows AS (SELECT post_id, lower(text) AS low FROM both_texts), {fuzzy_steps('f_', 'lows', pairs)}
+SELECT post_id, coalesce(names, '') AS names FROM both_texts LEFT JOIN f_names USING (post_id)"""
+
+
+FUZZY_TECH = _fuzzy_sql(dictionary_pairs(D.TECHNOLOGIES) + TERM_PAIRS)
+FUZZY_SKILLS = _fuzzy_sql(dictionary_pairs(D.SKILLS) + SKILL_PAIRS)
+
+
 def exact_mentions(spark, sf):
     pairs = D.term_pairs(D.load_term_dictionary(spark, None, A.TEXT_TERMS, lower=True))
     rows = pages_and_documents(spark, sf)
@@ -409,7 +418,7 @@ UNION ALL SELECT CAST(doc_id AS VARCHAR), 7, 3, true, 'old topic', CASE WHEN qua
 
 
 def keyword_features_fuzzy(spark, sf):
-    """All seven columns with the shipped dictionaries; the fuzzy columns have no SQL form."""
+    """All seven columns with the shipped dictionaries."""
     tech = D.term_pairs(D.load_term_dictionary(spark, None, D.TECHNOLOGIES))
     skills = D.term_pairs(D.load_term_dictionary(spark, None, D.SKILLS))
     rows = F1.keyword_features(A.text_posts(spark, sf), tech, skills)
@@ -419,6 +428,17 @@ def keyword_features_fuzzy(spark, sf):
     )
 
 
+KEYWORD_FUZZY = f"""WITH {TEXT_RECORDS},
+waiting AS MATERIALIZED (SELECT id AS post_id, title, {tokens("title || ' ' || text")} AS t FROM text_records),
+g AS (SELECT post_id, {grams('t', 2)} || {grams('t', 3)} AS items FROM waiting),
+topics AS ({top_counted('g', 'post_id', 'items')}),
+lows AS (SELECT id AS post_id, lower(title || ' ' || text) AS low FROM text_records),
+{fuzzy_steps('t_', 'lows', dictionary_pairs(D.TECHNOLOGIES))}, {fuzzy_steps('s_', 'lows', dictionary_pairs(D.SKILLS))}
+SELECT w.post_id, CAST(len(t) AS INTEGER) AS word_count, CAST(len(list_distinct(t)) AS INTEGER) AS unique_words, x.names AS tech, y.names AS skills,
+  contains(title, '?') AS is_question, top AS topics
+FROM waiting w LEFT JOIN topics USING (post_id) LEFT JOIN t_names x ON x.post_id = w.post_id LEFT JOIN s_names y ON y.post_id = w.post_id"""
+
+
 def post_sentiment(spark, sf):
     waiting = F1.pending_sentiment_posts(A.text_posts(spark, sf), _done(spark, sf))
     fresh = F1.post_sentiment(waiting, scoring(spark), WORDS)
@@ -546,8 +566,8 @@ QUERIES = {
     "doc_topics": (doc_topics, DOC_TOPICS),
     "doc_top_terms": (doc_top_terms, TOP_TERMS),
     "is_question": (is_question, IS_QUESTION),
-    "fuzzy_tech_mentions": (fuzzy_tech_mentions, None),
-    "fuzzy_skill_mentions": (fuzzy_skill_mentions, None),
+    "fuzzy_tech_mentions": (fuzzy_tech_mentions, FUZZY_TECH),
+    "fuzzy_skill_mentions": (fuzzy_skill_mentions, FUZZY_SKILLS),
     "exact_mentions": (exact_mentions, EXACT),
     "exact_mentions_dictionary": (exact_mentions_dictionary, EXACT_DICTIONARY),
     "clean_sentiment_automaton": (clean_sentiment_automaton, CLEAN_SENTIMENT),
@@ -569,7 +589,7 @@ QUERIES = {
     "pending_sentiment_posts": (pending_sentiment_posts, PENDING_POSTS),
     "pending_sentiment_comments": (pending_sentiment_comments, PENDING_COMMENTS),
     "keyword_features": (keyword_features, KEYWORD_FEATURES),
-    "keyword_features_fuzzy": (keyword_features_fuzzy, None),
+    "keyword_features_fuzzy": (keyword_features_fuzzy, KEYWORD_FUZZY),
     "post_sentiment": (post_sentiment, POST_SENTIMENT),
     "comment_sentiment": (comment_sentiment, COMMENT_SENTIMENT),
     "tech_sentiment_summary": (tech_sentiment_summary, SUMMARY),

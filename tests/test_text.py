@@ -162,6 +162,22 @@ def test_fuzzy_equals_brute_force():
         assert fuzzy.best_terms(pd.Series(texts), terms, cutoff) == expected
 
 
+def test_fuzzy_filters_lose_no_window():
+    generator = random.Random(6)
+    for _ in range(40):
+        terms = list({"".join(generator.choice("abcde") for _ in range(generator.randint(1, 12))) for _ in range(6)})
+        texts = ["".join(generator.choice("abcdef ") for _ in range(generator.choice([0, 1, 3, 8, 30]))) for _ in range(8)]
+        texts += [t[: len(t) // 2] + generator.choice(terms)[1:] + t[len(t) // 2 :] for t in texts]
+        for cutoff in (50.0, 80.0, 90.0, 100.0):
+            want = []
+            for text in texts:
+                scores = [fuzzy.partial_score(t, text) if text else 0.0 for t in terms]
+                want.append(sorted((i for i in range(len(terms)) if scores[i] >= cutoff), key=lambda i: (-scores[i], i)))
+            assert fuzzy.best_terms(pd.Series(texts), terms, cutoff, None) == want
+            both = fuzzy.best_in_dictionaries(pd.Series(texts), [terms[:2], [], terms], cutoff, None)
+            assert both == [fuzzy.best_terms(pd.Series(texts), terms[:2], cutoff, None), [[] for _ in texts], want]
+
+
 @pytest.mark.parametrize(
     "text, expected",
     [

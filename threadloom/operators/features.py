@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from threadloom.functions.binding import let
-from threadloom.functions.fuzzy import fuzzy_mentions
+from threadloom.functions.fuzzy import fuzzy_dictionaries
 from threadloom.functions.lexicon import score_text
 from threadloom.functions.lookup import lookup_tokens
 from threadloom.functions import text as X
@@ -71,12 +71,13 @@ def keyword_features(
     """post_id and FEATURES of each post; empty arrays become NULL. For one post, filter the posts."""
     full = posts.select("post_id", "title", X.full_text(F.col("title"), F.col("text")).alias("full_text"))
     rows = doc_topics(with_tokens(full, "post_id", "full_text", lemmas))
-    return rows.select(
+    named = fuzzy_dictionaries(F.col("full_text"), {"tech": technologies, "skills": skills}, limit=fuzzy_limit)
+    return rows.withColumn("named", named).select(
         "post_id",
         F.size("tokens").alias("word_count"),
         F.size(F.array_distinct("tokens")).alias("unique_words"),
-        X.null_if_empty(fuzzy_mentions(F.col("full_text"), technologies, limit=fuzzy_limit)).alias("tech_mentioned"),
-        X.null_if_empty(fuzzy_mentions(F.col("full_text"), skills, limit=fuzzy_limit)).alias("skills_mentioned"),
+        X.null_if_empty(F.col("named.tech")).alias("tech_mentioned"),
+        X.null_if_empty(F.col("named.skills")).alias("skills_mentioned"),
         X.is_question(F.col("title")).alias("is_question"),
         X.null_if_empty(F.col("topics")).alias("topics"),
     )
