@@ -58,6 +58,15 @@ def weekly_mentions_incremental(spark, sf):
     return T.weekly_mentions_incremental(stored, posts(spark, sf), analysis(spark, sf), since)
 
 
+def weekly_mentions_stored(spark, sf):
+    """As weekly_mentions_incremental, on a table stored by week."""
+    table = T.weekly_table(work_dir(spark, "weekly"))
+    stored = weekly_mentions_full(spark, sf).withColumn("mention_count", F.col("mention_count") + 1)
+    table.apply(stored, 0, [])
+    T.refresh_weekly_table(table, posts(spark, sf), analysis(spark, sf), F.lit("2000-06-01").cast("timestamp"), 1, 0)
+    return table.read(spark, 1)
+
+
 INCREMENTAL = f"""WITH {TRADE}, touched AS (SELECT min(week_start) AS lo, max(week_start) AS hi FROM mentions
   WHERE processed_date > TIMESTAMP '2000-06-01')
 SELECT tech_name, week_start, subreddit_id, count(*) + CASE WHEN week_start BETWEEN (SELECT lo FROM touched) AND
@@ -646,6 +655,7 @@ ALL_ANALYSES = f"WITH {TRADE}, {POPULAR}, {GROWTH_CTE}, {MONTHLY_CTE}, {CORR_CTE
 QUERIES = {
     "weekly_mentions_full": (weekly_mentions_full, WEEKLY_FULL),
     "weekly_mentions_incremental": (weekly_mentions_incremental, INCREMENTAL),
+    "weekly_mentions_stored": (weekly_mentions_stored, INCREMENTAL),
     "weekly_tech_trends": (weekly_tech_trends, WEEKLY),
     "tech_growth": (tech_growth, GROWTH),
     "emerging_tech": (emerging_tech, EMERGING),

@@ -115,3 +115,22 @@ def test_replace_and_drop(spark, tmp_path):
         table.replace(frame(spark, [("d", "y", 1, 0)]), 2, 1, {2})
     table.apply(frame(spark, [("e", "z", 2, 0)]), 2, ["at"], 1, drop={1})
     assert rows(table.read(spark)) == [("d", "y", 2), ("e", "z", 2)]
+
+
+def test_weeks_without_new_posts_keep_their_files(spark, tmp_path):
+    from threadloom.operators import trends as T
+
+    posts = spark.createDataFrame([(f"p{i}", f"2024-01-{day:02d}", 1) for i, day in enumerate((1, 3, 9, 16, 23))], "post_id string, day string, subreddit_id int")
+    posts = posts.withColumn("created_date", F.to_timestamp("day"))
+    analysis = spark.createDataFrame([(f"p{i}", ["a"], f"2024-02-0{1 if i < 3 else 3}") for i in range(5)], "post_id string, tech_mentioned array<string>, at string")
+    analysis = analysis.withColumn("processed_date", F.to_timestamp("at"))
+    table = T.weekly_table(str(tmp_path / "weekly"))
+    everything = T.refresh_weekly_table(table, posts, analysis, F.lit("2024-01-01").cast("timestamp"), 0)
+    before = files(table, spark, 0)
+    recounted = T.refresh_weekly_table(table, posts, analysis, F.lit("2024-02-02").cast("timestamp"), 1, 0)
+    after = files(table, spark, 1)
+    assert len(everything) == 4 and len(recounted) == 2 and recounted < everything
+    assert all((after[w] == before[w]) == (w not in recounted) for w in before)
+    assert rows(table.read(spark)) == rows(T.weekly_mentions_full(posts, analysis))
+    assert T.refresh_weekly_table(table, posts, analysis, F.lit("2025-01-01").cast("timestamp"), 2, 1) == set()
+    assert files(table, spark, 2) == after

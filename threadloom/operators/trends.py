@@ -9,7 +9,9 @@ from pyspark.sql.window import Window
 
 from threadloom.functions.text import period_start
 from threadloom.operators.merge import merge_columns
+from threadloom.schemas import struct
 from threadloom.sizing import broadcast_if_small
+from threadloom.sources.buckets import BucketTable
 
 # Words that mark a post as about work.
 JOB_WORDS = ["hiring", "job", "career", "looking for", "position"]
@@ -63,6 +65,38 @@ def weekly_mentions_incremental(
     return kept.unionByName(weekly_mentions_full(recent, analysis))
 
 
+def week_number(week_start: str | Column = "week_start") -> Column:
+    """Weeks since the first Monday after the epoch."""
+    return ((F.unix_date(week_start) - 4) / 7).cast("int")
+
+
+WEEKLY_MENTIONS = struct("tech_name string, week_start date, subreddit_id int, mention_count bigint")
+
+
+def weekly_table(path: str) -> BucketTable:
+    """Stored weekly mentions with one bucket per week."""
+    keys = ("tech_name", "week_start", "subreddit_id")
+    return BucketTable(path, WEEKLY_MENTIONS, keys, lambda rows, order: rows.dropDuplicates(list(keys)), bucket=week_number(), filtered=False)
+
+
+def refresh_weekly_table(
+    table: BucketTable, posts: DataFrame, analysis: DataFrame, last_run: Column, version: int, previous: int | None = None
+) -> set[int]:
+    """weekly_mentions_incremental on a stored table: makes `version` of it, and returns the numbers of the weeks recounted.
+
+    Only the files of these weeks are written; all others stay as they are.
+    """
+    week = week_number(period_start("week", F.col("created_date")))
+    fresh = analysis.where((F.col("processed_date") > last_run) & F.col("tech_mentioned").isNotNull()).select("post_id")
+    span = posts.select("post_id", week.alias("week")).join(fresh, "post_id").agg(F.min("week").alias("lo"), F.max("week").alias("hi")).first()
+    weeks = set() if span["lo"] is None else set(range(span["lo"], span["hi"] + 1))
+    # The bounds as dates, so that the scan of the posts can skip files.
+    first, end = (F.date_from_unix_date(F.lit(7 * (n or 0) + 4)).cast("timestamp") for n in (span["lo"], (span["hi"] or 0) + 1))
+    recent = posts.where((F.col("created_date") >= first) & (F.col("created_date") < end)) if weeks else posts.limit(0)
+    table.replace(weekly_mentions_full(recent, analysis), version, previous, weeks)
+    return weeks
+
+
 def weekly_tech_trends(posts: DataFrame, analysis: DataFrame) -> DataFrame:
     return _weekly(posts, analysis, "sentiment_score").groupBy("tech_name", "week_start", "subreddit_id").agg(
         F.count("*").alias("mention_count"), F.avg("sentiment_score").alias("sentiment_avg")

@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime
 import logging
 from collections.abc import Callable
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from threadloom.operators import trends as A
@@ -53,23 +55,44 @@ def analyses(
     return plans
 
 
+# Analyses that read the stored result of another one; all others start at once.
+AFTER = {"tech_growth": "weekly_tech_trends", "emerging_tech": "weekly_tech_trends", "tech_correlation": "weekly_tech_trends", "emerging_saved": "emerging_tech"}
+
+
 def run_all_analyses(
     posts: DataFrame, analysis: DataFrame, subreddits: DataFrame, out: str, as_of: str | datetime.date,
-    correlations: DataFrame | None = None,
+    correlations: DataFrame | None = None, workers: int = 4,
 ) -> Run:
-    """Write every analysis below `out`, a new folder. An error in one is kept and does not stop the others."""
+    """Write every analysis below `out`, a new folder, up to `workers` of them at a time, each as soon as what it reads is there.
+
+    An error in one is kept and does not stop the others, but those that read its result fail too.
+    """
     spark = posts.sparkSession
     run = Run()
 
     def stored(name: str) -> DataFrame:
         return spark.read.parquet(run.tables[name])
 
-    for name, plan in analyses(posts, analysis, subreddits, stored, as_of, correlations).items():
+    plans = analyses(posts, analysis, subreddits, stored, as_of, correlations)
+
+    def write(name: str) -> None:
         path = f"{out.rstrip('/')}/{name}"
         try:
-            plan().write.parquet(path)
+            plans[name]().write.parquet(path)
             run.tables[name] = path
         except Exception as error:  # one failed analysis must not take the others with it
             log.exception("analysis %s failed", name)
             run.errors[name] = error
+
+    waiting = {name: AFTER.get(name) for name in plans}
+    with ThreadPoolExecutor(workers) as pool:
+        running: dict[Future, str] = {}
+        while waiting or running:
+            done = {*run.tables, *run.errors}
+            for name in [n for n, before in waiting.items() if before is None or before in done]:
+                del waiting[name]
+                running[pool.submit(inheritable_thread_target(spark)(write), name)] = name
+            for future in wait(running, return_when=FIRST_COMPLETED).done:
+                del running[future]
+                future.result()
     return run

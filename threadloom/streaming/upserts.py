@@ -18,6 +18,7 @@ from pyspark.sql.types import IntegerType, StructType
 
 from threadloom.operators.merge import COMMENT_UPDATES, POST_UPDATES, full_table, lookup_dimension, partial_table, upsert_dimension
 from threadloom.operators.normalise import comment_rows, known_authors, post_rows
+from threadloom.operators.trends import week_number
 from threadloom.schemas import COMMENT_RECORD, POST_RECORD, struct
 from threadloom.sources.buckets import BucketTable
 from threadloom.sources.records import dead_letters, decode_messages, well_formed
@@ -203,11 +204,6 @@ def _sum_mentions(rows: DataFrame, order: list[str]) -> DataFrame:
     return rows.groupBy("week_start", "tech_name", "subreddit_id").agg(F.sum("mention_count").alias("mention_count"))
 
 
-def week_number(week_start: str = "week_start") -> Column:
-    """Weeks since the first Monday after the epoch."""
-    return ((F.unix_date(week_start) - 4) / 7).cast("int")
-
-
 def pending_weeks(root: str, **options) -> BucketTable:
     """Counts of weeks that may still grow, one bucket a week."""
     return BucketTable(
