@@ -11,7 +11,7 @@ lines that are returned or removed; op2_line_dedup and the pipeline give 1, ever
    of the halves as it is, so this loses nothing and keeps the variants of lines without partners out of the shuffle.
 3. Each remaining line emits the hash of itself and of every variant with one word deleted. The hash of a word sequence
    is the xor of the hashes of (word, place), so all variants of a line come from running xors in one pass.
-4. Equal variants with the deletion at the same place are a replacement; a variant equal to a whole line is an
+4. Lines are numbered in the order of their places. Equal variants with the deletion at the same place are a replacement; a variant equal to a whole line is an
    insertion. Only the earliest member of each group of equal variants is kept, by partial aggregation, so a group of
    any size makes no pairs.
 5. The words of a line and of its earliest neighbour are compared; links of colliding hashes go.
@@ -36,13 +36,15 @@ _UPPER, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def line_words(line: Column) -> Column:
-    return F.filter(F.split(F.translate(line, _UPPER, _LOW), r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.translate(line, _UPPER, _LOW), r"[ \t\n\x0B\f\r]+"), "")
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, row, line, words) of every line; row tells repeated ids apart."""
+    """(id, row, line, words) of every line with a word; row tells repeated ids apart."""
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("row"), F.col(text_col).alias("text"))
     lines = rows.select("id", "row", F.posexplode(F.split("text", "\n")).alias("line", "content"))
+    # Asked of the content: a filter on the words would be pushed below them with a second copy of the split.
+    lines = lines.where(F.col("content").rlike(r"[^ \t\n\x0B\f\r]"))
     return lines.select("id", "row", "line", line_words(F.col("content")).alias("words"))
 
 
@@ -77,7 +79,7 @@ def judge_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """What judge_lines gives, of every line with a word, and the number n of its words."""
-    lines = _lines(docs, id_col, text_col).withColumn("n", F.size("words")).where("n > 0")
+    lines = _lines(docs, id_col, text_col).withColumn("n", F.size("words"))
     hashed = lines.select(
         *PLACE, F.col("n").cast("int").alias("n"), F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(2), "words").alias("h2"),
         F.when(F.col("n") >= NEAR_WORDS, _half_keys(F.col("words"), F.col("n"))).alias("keys"),
@@ -90,23 +92,28 @@ def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     keys = F.when(F.col("n") >= NEAR_WORDS, F.array("k0", "k1", "k2", "k3"))
     firsts = store(firsts.select("h1", "h2", "n", keys.alias("keys"), "first"), "first-lines")
 
-    candidates = store(_sharing_a_half(firsts), "half-partners")
+    # Numbers in the order of places stand for them from here on: one long instead of three columns in every variant.
+    candidates = _sharing_a_half(firsts).orderBy(*PLACE).withColumn("no", F.monotonically_increasing_id())
+    candidates = store(candidates, "half-partners")
+    total = candidates.count()
     # Only documents with candidates are read again, and only their candidate lines leave the scan.
     known = candidates.select(F.col("id").alias("_id"), F.col("row").alias("_row")).distinct()
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("row"), F.col(text_col).alias("text"))
-    hint = keys_hint(known, candidates.count())
+    hint = keys_hint(known, total)
     source = source.join(hint, source["id"].eqNullSafe(F.col("_id")) & (source["row"] == F.col("_row")), "left_semi")
     words = _lines(source.select(F.col("id"), "text"), "id", "text")
-    picked = candidates.select(*[F.col(c).alias("_" + c) for c in PLACE])
+    picked = candidates.select("no", *[F.col(c).alias("_" + c) for c in PLACE])
     same = words["id"].eqNullSafe(F.col("_id")) & (words["row"] == F.col("_row")) & (words["line"] == F.col("_line"))
-    words = words.join(keys_hint(picked, candidates.count()), same, "left_semi").dropDuplicates(["id", "row", "line"])
+    words = words.join(keys_hint(picked, total), same).select("no", "words").dropDuplicates(["no"])
     words = store(words, "candidate-lines")
 
     near = store(_earliest_near(words), "near-lines")
+    named = candidates.select("no", *[F.col(c).alias("_" + c) for c in PLACE])
+    earlier = candidates.select(F.col("no").alias("earliest"), _place().alias("place"))
+    near = near.join(named, "no").join(earlier, "earliest").select(*["_" + c for c in PLACE], "place")
     firsts = firsts.select("h1", "h2", "first", *[F.col("first")[c].alias(c) for c in PLACE])
-    near = near.select(*[F.col(c).alias("_" + c) for c in PLACE], "earliest")
     same = firsts["id"].eqNullSafe(F.col("_id")) & (firsts["row"] == F.col("_row")) & (firsts["line"] == F.col("_line"))
-    firsts = firsts.join(near, same, "left").select("h1", "h2", F.least("first", F.coalesce("earliest", "first")).alias("first"))
+    firsts = firsts.join(near, same, "left").select("h1", "h2", F.least("first", F.coalesce("place", "first")).alias("first"))
     judged = hashed.select(*PLACE, "n", "h1", "h2").join(firsts, ["h1", "h2"])
     return judged.select(
         *PLACE, "n", F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line"), (F.col("first") == _place()).alias("kept")
@@ -122,36 +129,38 @@ def _sharing_a_half(firsts: DataFrame) -> DataFrame:
 
 
 def _earliest_near(words: DataFrame) -> DataFrame:
-    """(id, row, line, earliest): the earliest near line of each line that has an earlier one."""
-    placed = words.select(*PLACE, F.size("words").alias("n"), F.posexplode("words").alias("i", "word"))
-    placed = placed.select(*PLACE, "n", "i", F.xxhash64("i", "word").alias("here"), F.xxhash64(F.col("i") - 1, "word").alias("moved"))
-    line = Window.partitionBy(*PLACE)
+    """(no, earliest): the number of the earliest near line of each line that has an earlier one."""
+    # Lines are dealt before they are taken apart, so that words, not rows of hashes, are what is shuffled.
+    dealt = words.repartition("no")
+    placed = dealt.select("no", F.size("words").alias("n"), F.posexplode("words").alias("i", "word"))
+    placed = placed.select("no", "n", "i", F.xxhash64("i", "word").alias("here"), F.xxhash64(F.col("i") - 1, "word").alias("moved"))
+    line = Window.partitionBy("no")
     upto = line.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     xored = placed.select(
-        *PLACE, "n", "i", "here", "moved",
+        "no", "n", "i", "here", "moved",
         F.expr("bit_xor(here)").over(upto).alias("head"), F.expr("bit_xor(moved)").over(upto).alias("tail"),
         F.expr("bit_xor(moved)").over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("all_moved"),
     )
     # Without word i: the words before it as they stand, those after it one place further left.
     variant = F.col("head").bitwiseXOR(F.col("here")).bitwiseXOR(F.col("all_moved")).bitwiseXOR(F.col("tail"))
-    xored = xored.select(_place().alias("place"), "n", "i", variant.alias("variant"), "head")
+    xored = xored.select("no", "n", "i", variant.alias("variant"), "head")
 
-    replaced = xored.groupBy(F.xxhash64("n", "i", "variant").alias("key")).agg(F.min("place").alias("earliest"), F.max("place").alias("latest"))
+    members = xored.select(F.xxhash64("n", "i", "variant").alias("key"), "no")
+    replaced = members.groupBy("key").agg(F.min("no").alias("earliest"), F.max("no").alias("latest"))
     replaced = replaced.where("earliest < latest").select("key", "earliest")
-    by_replacement = xored.select("place", F.xxhash64("n", "i", "variant").alias("key")).join(replaced, "key").select("place", "earliest")
-
-    shorter = xored.select("place", (F.col("n") - 1).alias("n"), "variant")
-    whole = xored.where(F.col("i") == F.col("n") - 1).select(F.col("place").alias("whole"), "n", F.col("head").alias("variant"))
-    inserted = shorter.join(whole, ["n", "variant"]).select("place", "whole")
-    longer = inserted.groupBy(F.col("whole").alias("place")).agg(F.min("place").alias("earliest"))
-    links = by_replacement.unionByName(inserted.select("place", F.col("whole").alias("earliest"))).unionByName(longer)
-    links = links.where(F.col("earliest") < F.col("place")).distinct()
-
-    own = words.select(_place().alias("place"), F.col("words").alias("own"))
-    other = words.select(_place().alias("earliest"), F.col("words").alias("other"))
-    checked = links.join(own, "place").join(other, "earliest").where(one_word_apart(F.col("own"), F.col("other")))
-    best = checked.groupBy("place").agg(F.min("earliest").alias("earliest"))
-    return best.select(*[F.col("place")[c].alias(c) for c in PLACE], "earliest")
+    by_replacement = members.join(replaced, "key").select("no", "earliest")
+
+    shorter = xored.select(F.xxhash64(F.col("n") - 1, "variant").alias("key"), "no")
+    whole = xored.where(F.col("i") == F.col("n") - 1).select(F.xxhash64("n", "head").alias("key"), F.col("no").alias("whole"))
+    inserted = shorter.join(whole, "key").select("no", "whole")
+    longer = inserted.groupBy(F.col("whole").alias("no")).agg(F.min("no").alias("earliest"))
+    links = by_replacement.unionByName(inserted.select("no", F.col("whole").alias("earliest"))).unionByName(longer)
+    links = links.where(F.col("earliest") < F.col("no")).distinct()
+
+    own = words.select("no", F.col("words").alias("own"))
+    other = words.select(F.col("no").alias("earliest"), F.col("words").alias("other"))
+    checked = links.join(own, "no").join(other, "earliest").where(one_word_apart(F.col("own"), F.col("other")))
+    return checked.groupBy("no").agg(F.min("earliest").alias("earliest"))
 
 
 def one_word_apart(a: Column, b: Column) -> Column:
