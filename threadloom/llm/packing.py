@@ -1,8 +1,9 @@
 """Hierarchical best-fit packing of token sequences.
 
-Each task packs its own pieces best-fit. Bins that are nearly full leave; the others become items, are dealt to fewer
-tasks and packed again, until one task holds what is left. A task packs at most PER_TASK items at once, so its memory
-is bounded whatever the input.
+Each task packs its own pieces best-fit. Bins that are nearly full leave, and so do those into which not even the
+smallest bin fits; the others become items, are dealt anew to fewer tasks and packed again, until one task held what
+was left or a round merged nothing. A task packs at most PER_TASK items at once, so its memory is bounded whatever the
+input.
 
 Defined results: a null or empty text is one piece that holds the end token only; a text of more than `limit` tokens is
 cut into pieces of `limit`, the first of which takes the remainder; repeated rows are packed as often as they occur;
@@ -82,12 +83,13 @@ def pack_items(items: DataFrame, limit: int = LIMIT, nearly_full: int = NEARLY_F
     """(item, sequence_id, offset) for items (item long, length long up to limit)."""
     placed = store(pack_round(items.select("item", "length"), limit, 1, per_task), "packing-1")
     result = placed.select("item", F.col("bin").alias("sequence_id"), "offset")
-    under = _underfull(placed, limit - nearly_full)
+    under = _mergeable(_underfull(placed, limit - nearly_full), limit)
     left, level = under.count(), 1
     while left > 1:
         level += 1
         tasks = math.ceil(left / per_task)
-        dealt = under.repartition(tasks, "item") if tasks > 1 else under.coalesce(1)
+        # Another deal in each round, so bins that never shared a task get to meet.
+        dealt = under.repartition(tasks, F.xxhash64("item", F.lit(level))) if tasks > 1 else under.coalesce(1)
         placed = store(pack_round(dealt, limit, level, per_task), f"packing-{level}")
         moved = placed.select(F.col("item").alias("_bin"), F.col("bin").alias("_to"), F.col("offset").alias("_by"))
         result = result.join(moved, result.sequence_id == moved["_bin"], "left").select(
@@ -95,13 +97,25 @@ def pack_items(items: DataFrame, limit: int = LIMIT, nearly_full: int = NEARLY_F
             F.coalesce("_to", "sequence_id").alias("sequence_id"),
             (F.col("offset") + F.coalesce("_by", F.lit(0))).alias("offset"),
         )
-        under = _underfull(placed, limit - nearly_full)
-        before, left = left, under.count()
-        if tasks == 1 or left > 0.9 * before:  # nothing is left to merge with
+        if level % 4 == 0:  # the plan must not grow with the rounds
+            result = store(result, f"packing-so-far-{level}")
+        merged = placed.where("offset > 0").limit(1).count()
+        if tasks == 1 or not merged:
             break
+        under = _mergeable(_underfull(placed, limit - nearly_full), limit)
+        left = under.count()
     return result
 
 
+def _mergeable(under: DataFrame, limit: int) -> DataFrame:
+    """Bins into which the smallest other bin still fits; the rest can merge with nothing and are final."""
+    least = [r.length for r in under.select("length").orderBy("length").limit(2).collect()]
+    if len(least) < 2:
+        return under.limit(0)
+    # The smallest bin itself needs the second smallest.
+    return under.where((F.col("length") + least[0] <= limit) & F.lit(sum(least) <= limit))
+
+
 def _underfull(placed: DataFrame, enough: int) -> DataFrame:
     """One item for each bin that is not nearly full."""
     first = placed.where((F.col("offset") == 0) & (F.col("fill") < enough))
