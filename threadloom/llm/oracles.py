@@ -154,7 +154,7 @@ WITH cut AS (
   SELECT host, array_to_string(CASE WHEN two THEN parts[-3:] ELSE parts[-2:] END, '.') AS domain,
     array_to_string(CASE WHEN two THEN parts[-2:] ELSE parts[-1:] END, '.') AS suffix FROM named
 ), outcomes AS (
-  SELECT host, count(*) AS n, sum(1 - quality)::DOUBLE AS bad FROM p JOIN labels l ON l.doc_id = page_id WHERE quality IN (0, 1) GROUP BY host
+  SELECT host, count(*) AS n, sum(1 - quality)::DOUBLE AS bad FROM p JOIN labels l ON l.doc_id = page_id WHERE quality IN (0, 1) AND host <> '' GROUP BY host
 ), o AS MATERIALIZED (
   SELECT * FROM outcomes JOIN h USING (host)
 ), overall AS (
@@ -172,7 +172,8 @@ WITH cut AS (
 ), host_strength AS ({_strength("host_units")}
 ), host_known AS MATERIALIZED ({_posterior("host")}
 ), bounds AS (
-  SELECT h.host, coalesce({_bound("x.a", "x.b")}, {_bound("y.a", "y.b")}, {_bound("z.a", "z.b")}, {_bound("w.a", "w.b")}) AS bound
+  SELECT h.host, CASE WHEN h.host = '' THEN {_bound("w.a", "w.b")}
+    ELSE coalesce({_bound("x.a", "x.b")}, {_bound("y.a", "y.b")}, {_bound("z.a", "z.b")}, {_bound("w.a", "w.b")}) END AS bound
   FROM h LEFT JOIN host_known x ON x.host = h.host LEFT JOIN domain_known y ON y.domain = h.domain
     LEFT JOIN suffix_known z ON z.suffix = h.suffix, overall w
 ), ruled AS (

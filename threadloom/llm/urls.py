@@ -111,7 +111,9 @@ def judge_urls(
     """(id, host, path, rule, verdict, bound) per page. bad: a 0/1 expression over labels; 1 - quality if not given."""
     source = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     marks = labels.select(F.col(label_id).alias("_id"), (1 - F.col("quality") if bad is None else bad).cast("long").alias("bad")).where("_id is not null and bad in (0, 1)")
-    outcomes = source.select("id", "host").join(marks, F.col("id") == F.col("_id")).select("host", "bad")
+    # Pages without a host say nothing about any host; they get the overall prior.
+    named_pages = source.where("host != ''").select("id", "host")
+    outcomes = named_pages.join(marks, F.col("id") == F.col("_id")).select("host", "bad")
     suffixes, domains, hosts, overall = reputation(outcomes)
     bound = F.round(lower_bound(F.col("a"), F.col("b")), 9)
     levels = zip(LEVELS, (suffixes, domains, hosts))
@@ -121,6 +123,7 @@ def judge_urls(
         named = named.join(table.select(level, bound.alias(f"bound_{level}")), level, "left")
     bound_all = F.round(lower_bound(F.lit(overall[0]), F.lit(overall[1])), 9)
     judged = named.select(F.col("host").alias("_host"), F.coalesce("bound_host", "bound_domain", "bound_suffix", bound_all).alias("bound"))
+    judged = judged.withColumn("bound", F.when(F.col("_host") == "", bound_all).otherwise(F.col("bound")))
     rule, action = matching_rule(F.col("host"), F.col("path"), rules)
     verdict = F.coalesce(action, F.when(F.col("bound") > block_above, "block").otherwise("allow"))
     joined = source.join(store(judged, "host-bounds"), F.col("host") == F.col("_host"), "left")
