@@ -11,14 +11,15 @@ Queries are a stated set, of every row whose id is divisible by a number. Rows a
 ROWS vectors, queries into blocks of about QUERIES; each pair of blocks is one task of bounded size.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part, as queries or
-as candidates; so do rows with a null id, and vectors of another length than the most frequent one. Of rows with one id, the
-least vector takes part. A query with fewer candidates than K gets all of them; an empty table gives an empty result.
+as candidates; so do rows with a null id. Vectors of each length are searched among their own. Of rows with one id and
+length, the least vector takes part; an id of several lengths asks with each and gets the nearest of all. A query with fewer candidates than K gets all of them; an empty table gives an empty result.
 Ties go to the smaller id. Other columns are not read. Every row is indexed; the rotation needs no fitting.
 """
 
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ ROWS = 8192
 QUERIES = 2048
 
 
+@lru_cache(maxsize=4)
 def rotation(dim: int, seed: int = 1) -> np.ndarray:
     """A random orthogonal matrix."""
     q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, dim)))
@@ -87,29 +89,35 @@ def nearest(
     v = F.col("v")
     valid = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     valid = valid.where(F.col("id").isNotNull() & v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0))
-    lengths = valid.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.count(F.when(F.col("id") % every == 0, 1)).alias("q"))
-    top = lengths.orderBy(F.desc("n"), "dim").first()
-    dim, n, q = (top.dim, top.n, top.q) if top else (1, 0, 0)
-    row_blocks, query_blocks = max(1, math.ceil(n / rows)), max(1, math.ceil(q / queries))
-    matrix = rotation(dim, seed)
+    valid = valid.withColumn("dim", F.size("v"))
+    lengths = valid.groupBy("dim").agg(F.count("*").alias("n"), F.count(F.when(F.col("id") % every == 0, 1)).alias("q"))
+    blocks = lambda count, size: F.greatest(F.lit(1), F.ceil(F.col(count) / size)).cast("int")
+    lengths = store(lengths.select(F.col("dim"), blocks("n", rows).alias("rbs"), blocks("q", queries).alias("qbs")), "lengths")
 
     def code(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            units = np.array(batch.column("v").to_pylist())
-            units /= np.abs(units).max(axis=1, keepdims=True)
-            units /= np.sqrt((units * units).sum(axis=1, keepdims=True))
-            bits, scalars = encode(units, matrix)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(scalars)], names=["id", "v", "bits", "c"])
-
-    coded = valid.where(F.size("v") == dim).mapInArrow(code, "id long, v array<double>, bits binary, c double")
-    coded = store(coded, "codes")
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims):
+                part = batch.filter(pa.array(dims == dim))
+                units = np.array(part.column("v").to_pylist())
+                units /= np.abs(units).max(axis=1, keepdims=True)
+                units /= np.sqrt((units * units).sum(axis=1, keepdims=True))
+                bits, scalars = encode(units, rotation(int(dim), seed))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), part.column("v"), part.column("dim"), pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(scalars)],
+                    names=["id", "v", "dim", "bits", "c"],
+                )
+
+    coded = valid.select("id", "v", "dim").mapInArrow(code, "id long, v array<double>, dim int, bits binary, c double")
+    coded = store(coded, "codes").join(lengths, "dim")
     place = F.xxhash64("id")
-    dealt = coded.withColumn("rb", F.pmod(place, F.lit(row_blocks)).cast("int"))
-    searched = dealt.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    asked = coded.where(F.col("id") % every == 0).withColumn("qb", F.pmod(F.shiftright(place, 20), F.lit(query_blocks)).cast("int"))
-    asked = asked.select("id", "v", "qb").withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))))
+    dealt = coded.withColumn("rb", F.pmod(place, "rbs").cast("int"))
+    searched = dealt.withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("qbs") - 1)))
+    asked = coded.where(F.col("id") % every == 0).withColumn("qb", F.pmod(F.shiftright(place, 20), "qbs").cast("int"))
+    asked = asked.select("id", "v", "dim", "qb", F.explode(F.sequence(F.lit(0), F.col("rbs") - 1)).alias("rb")).toDF("id", "v", "dim", "qb", "rb")
+    searched = searched.select("id", "v", "dim", "bits", "c", "rb", "qb")
 
     def least(table: pa.Table) -> tuple[np.ndarray, list]:
         """One row per id, the one of the least vector, by id."""
@@ -126,10 +134,12 @@ def nearest(
             bits = np.frombuffer(b"".join(r[2] for r in candidates), np.uint8).reshape(len(candidates), -1)
             found = search_block(
                 np.array([r[0] for r in candidates]), np.array([r[1] for r in candidates]), bits, np.array([r[3] for r in candidates]),
-                np.array([r[0] for r in wanted]), np.array([r[1] for r in wanted]), matrix, k, epsilon,
+                np.array([r[0] for r in wanted]), np.array([r[1] for r in wanted]), rotation(len(wanted[0][1]), seed), k, epsilon,
             )
         return pa.table({"query_id": pa.array([f[0] for f in found], pa.int64()), "vec_id": pa.array([f[1] for f in found], pa.int64()), "score": pa.array([f[2] for f in found], pa.float64())})
 
-    best = searched.groupBy("rb", "qb").cogroup(asked.groupBy("rb", "qb")).applyInArrow(search, "query_id long, vec_id long, score double")
+    block = ("dim", "rb", "qb")
+    best = searched.groupBy(*block).cogroup(asked.groupBy(*block)).applyInArrow(search, "query_id long, vec_id long, score double")
+    best = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
