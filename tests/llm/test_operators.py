@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -86,6 +87,24 @@ def test_packing_keeps_every_piece_once(spark, per_task):
     assert packing.pack_documents(corpus(spark, []), VOCABULARY).count() == 0
 
 
+def test_pieces_are_the_librarys_ids(spark):
+    docs, library = corpus(spark), Tokenizer.from_file(VOCABULARY)
+    found = sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packing.pack_documents(docs.where("doc_id is not null").dropDuplicates(["doc_id"]), VOCABULARY, limit=64).drop("sequence_id", "offset").collect())
+    want = []
+    for doc_id, text in {r.doc_id: r.text for r in docs.where("doc_id is not null").dropDuplicates(["doc_id"]).collect()}.items():
+        ids = library.encode(text or "", add_special_tokens=False).ids + [2]
+        cuts = [0, *range(len(ids) % 64 or 64, len(ids) + 1, 64)]
+        want += [(doc_id, p, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for p, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    assert found == sorted(want)
+
+
+def test_packing_over_many_tasks_merges_to_the_end(spark):
+    items = spark.range(12_000, numPartitions=4).select(F.col("id").alias("item"), (1 + F.pmod(F.xxhash64("id"), F.lit(700))).cast("long").alias("length")).persist()
+    bins = [packing.pack_items(items, per_task=n).select("sequence_id").distinct().count() for n in (packing.PER_TASK, 200)]
+    items.unpersist()
+    assert bins[1] <= 1.01 * bins[0]
+
+
 def brute_components(docs):
     sets, up = [], list(range(len(docs)))
 
@@ -281,14 +300,15 @@ def test_nearest_vectors(spark):
     rng = np.random.default_rng(4)
     data = {i: rng.standard_normal(12).tolist() for i in range(300)} | {300: None, 301: [0.0] * 12, 302: [1.0] * 3, 303: [float("nan")] * 12, 304: [None] * 12, 305: [], 306: [float("inf")] * 12}
     data |= {i: data[7] for i in range(310, 330)}
+    data |= {i: rng.standard_normal(3).tolist() for i in range(400, 412)}
     rows = [(i, v, "x") for i, v in data.items()] + [(7, data[7], "x"), (None, data[8], "x")]
     found = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>, bits string"), every=10, rows=100, queries=20).collect()
-    good = {i: np.array(v) for i, v in data.items() if i < 300 or i >= 310}
+    good = {i: np.array(v) for i, v in data.items() if i < 300 or i >= 310 or i == 302}
     got = {}
     for r in sorted(found, key=lambda r: r.rank):
         got.setdefault(r.query_id, []).append((r.vec_id, round(r.score, 9)))
     for q in (i for i in good if i % 10 == 0):
-        cosines = {i: round(float(v @ good[q] / np.linalg.norm(v) / np.linalg.norm(good[q])), 9) for i, v in good.items() if i != q}
+        cosines = {i: round(float(v @ good[q] / np.linalg.norm(v) / np.linalg.norm(good[q])), 9) for i, v in good.items() if i != q and len(v) == len(good[q])}
         assert got[q] == sorted(cosines.items(), key=lambda x: (-x[1], x[0]))[:5]
     assert ann.nearest(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
@@ -303,5 +323,10 @@ def test_url_rules_and_reputation(spark):
     assert len(found) == len(pages)
     assert by[0] == ("bad0.spam.org", "/x0", None, "block") and by[200][-1] == "allow" and by[405] == ("new.spam.org", "/", None, "block")
     assert by[400][:3] == by[401][:3] == ("", "", None)
+    # Bad pages without a host are no host of their own: the overall prior allows them here.
+    nulls = spark.createDataFrame(pages[:400] + [(500 + i, None) for i in range(60)], "page_id long, url string")
+    bad = labels.union(spark.createDataFrame([(500 + i, 0) for i in range(60)], "doc_id long, quality int"))
+    hostless = [r for r in urls.judge_urls(nulls, bad, rules).collect() if r.page_id >= 500]
+    assert len(hostless) == 60 and {r.verdict for r in hostless} == {"allow"}
     assert by[402] == ("www.example.com", "/en/a", "www.example.com/en/", "allow")
     assert by[403] == ("x.example.com", "/en/", "example.com/en/", "block") and by[404][:2] == ("com", "")
