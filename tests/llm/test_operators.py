@@ -283,6 +283,42 @@ def test_main_text():
     assert [html_text.main_text(x) for x in (None, "", "<p", "<script>x", "<article>cut &am")] == ["", "", "", "", html.unescape("cut &am")]
 
 
+PROSE = "It is the way of the world that we are here and they are not, which is what it was for all of us."
+
+
+@pytest.mark.parametrize("page", [
+    f'<div class="container with-sidebar"><article><p>{PROSE}</article><div class="sidebar">{PROSE[:50]}</div></div>',
+    f"<form><main><p>{PROSE}</main></form>",
+    f'<main><div class="post-content tags"><p>{PROSE}</div><div class="tags">way world</div></main>',
+    f'<main><section class="article-bottom"><p>{PROSE}</section></main>',
+    f"<form action=x><div><p>{PROSE * 3}</div></form>",
+    f'<div class="related"><article>{PROSE[:90]}</article></div><article>{PROSE}</article>',
+    f'<article><p>{PROSE}</p><div id="comments"><article>{PROSE * 5}</article></div></article>',
+    f'<article><p>{PROSE}</p></article><div id="comments"><article>{PROSE[:80]}</article></div>',
+    f'<article><p>{PROSE}</p><form>{PROSE[:90]}</form><div class="related"><a href=x>{PROSE * 3}</a></div></article>',
+    f'<div class="ad"><div class="promo">{PROSE[:80]}</div></div><div class="comments-open"><article>{PROSE}</article></div>',
+])
+def test_marks_of_wrappers_do_not_hide_the_article(page):
+    text = html_text.main_text(page)
+    assert text.startswith(PROSE) and set(text.replace(PROSE, "").split()) == set()
+
+
+def test_pages_of_other_scripts_and_formulas():
+    text = "これは記事の本文であり、ページの主な内容として十分な長さを持つ段落です。" * 2
+    assert html_text.main_text(f"<nav><a href=x>家</a></nav><div><p>{text}</p></div><footer>{text}</footer>") == text
+    assert html_text.main_text(f"<article><p>{PROSE} <math><mi>x</mi><annotation>tex</annotation></math></p></article>") == PROSE + " x"
+    deep = "<div class=ad>" * 20_000 + "<main>" * 2_000
+    assert html_text.main_text(deep + PROSE) == PROSE
+
+
+def test_pages_table(spark):
+    pages = [(1, None, "n"), (2, "", "n"), (3, f"<article>{PROSE}</article>", None), (3, f"<article>{PROSE}</article>", None), (None, "<p>", "n")]
+    schema = "page_id long, html string, text string"
+    found = html_text.extract(spark.createDataFrame(pages, schema))
+    assert Counter((r.page_id, r.text) for r in found.collect()) == Counter([(1, ""), (2, ""), (3, PROSE), (3, PROSE), (None, "")])
+    assert html_text.extract(spark.createDataFrame([], schema)).count() == 0
+
+
 def test_license_templates(spark):
     found = lambda text: {label for *_, label in licenses.scan_words(licenses.tokens(text))[1]}
     assert found("Licensed under the Apache License, Version 2.0.") == {"apache-2.0"}

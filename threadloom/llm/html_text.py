@@ -3,11 +3,15 @@
 A page is cut into blocks at block-level tags. Each block knows its text, its letters inside links, the share of
 stop words of the page's likeliest language, whether it stands in an article or main element, and whether an element
 around it is of a kind or carries a class, id or role that marks boilerplate (menus, headers, footers, sidebars,
-notices, adverts, forms, comments).
+notices, adverts, forms, comments). A class, id or role says less than a kind of element, so the mark of a wrapper (and
+of a form around the page) is void when the wrapper holds a main element or the page's largest article, or, in an
+article or on a page without one, more than half of the text there, little of it linked. Marks of reader comments
+are void only around a main element or the page's single article.
 
 Pass one, each block alone: boilerplate marks or a high link density make it bad. Inside an article, a block of at
 least SHORT letters is good. Elsewhere long blocks with many stop words are good, those with few are bad, middling ones
-follow their stop-word density. Short blocks stay undecided. Pass two: undecided blocks take the label of the nearest
+follow their stop-word density. Where most letters of the page are of scripts without a list of stop words, length and
+links alone decide; an ideograph or kana counts as three letters. Short blocks stay undecided. Pass two: undecided blocks take the label of the nearest
 decided block (of the same article, if they are in one); of two equally near, good wins inside an article and bad
 outside. Undecided blocks of an article without any decided block are good.
 
@@ -38,9 +42,9 @@ _BLOCKS = frozenset(
     " section select summary table tbody td textarea tfoot th thead title tr ul".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_HIDDEN = frozenset("script style template svg math head title noscript iframe object canvas audio video textarea select button datalist".split())
+_HIDDEN = frozenset("script style template svg annotation annotation-xml head title noscript iframe object canvas audio video textarea select button datalist".split())
 _RAW = frozenset("script style textarea title".split())
-_BOILERPLATE = frozenset("nav header footer aside form menu dialog fieldset label legend input option optgroup".split())
+_BOILERPLATE = frozenset("nav header footer aside menu dialog fieldset label legend input option optgroup".split())
 _ARTICLE = frozenset(("article", "main"))
 # Elements whose end tags may be missing: a new one of the same group ends the one before.
 _ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -50,12 +54,18 @@ _MARKS = frozenset(
     " foot bottom copyright legal cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login share sharing"
     " social toolbar tags skip-link complementary contentinfo search".split()
 )
+_READERS = frozenset("comment comments reply replies respond disqus".split())
+_WHOLE = frozenset("alert bottom foot legal rail search".split())  # marks as a word of their own only, not as in article-bottom
+_NO_MARK, _MARK, _READER, _UNSEEN = range(4)
 
 # Common function words by language.
 STOP_WORDS = {
     "en": "a an and are as at be been but by for from had has have he her his i in is it its not of on or she that the their they this to was we were which with you".split(),
     "de": "aber als am an auch auf aus bei das dass dem den der des die ein eine einem einen einer er es für hat ich im in ist mit nicht oder sich sie sind und von war werden wie zu zum zur".split(),
     "fr": "au aux avec ce ces dans de des du elle en est et il ils je la le les leur mais ne nous on ou par pas plus pour qu que qui sa se ses son sont sur un une vous".split(),
+    "it": "a al alla anche che come con da dal dei del della di e è gli ha i il in la le lo ma nel nella non per più se si sono su un una".split(),
+    "nl": "aan als bij dat de die dit door een en er heeft het hij in is je maar met naar niet nog of om ook op te tot uit van voor was wordt zich zijn".split(),
+    "pt": "a ao as com como da das de do dos e é em está foi mais mas não na nas no nos o os ou para pela pelo por que se sem seu sua um uma".split(),
     "es": "a al como con de del el ella en es esta este fue ha hay la las lo los más mi no o para pero por que se si sin sobre son su sus un una y ya".split(),
 }
 _STOPS = {k: frozenset(v) for k, v in STOP_WORDS.items()}
@@ -65,6 +75,8 @@ _ATTRIBUTE = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden|aria-hidden|style)
 _WORDS = re.compile(r"[^\W\d_]+")
 _PARTS = re.compile(r"[\s_]+")
 _SPACE = re.compile(r"\s+")
+_LATIN = re.compile(r"[A-Za-z\u00AA-\u024F\u1E00-\u1EFF]")
+_IDEOGRAPHS = re.compile(r"[\u3041-\u30FF\u3400-\u9FFF\uF900-\uFAFF\U00020000-\U0003FFFF]")
 
 
 @dataclass
@@ -75,37 +87,98 @@ class Block:
     article: int  # number of the article around it, 0 for none
 
 
-def _marked(attributes: str) -> bool:
+def _mark(attributes: str, inside: bool) -> int:
+    """What class, id, role and attributes that hide an element say about it; inside: it stands in an article."""
+    found = _NO_MARK
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-            return True
+            return _UNSEEN
         if name in ("class", "id", "role"):
             for part in _PARTS.split(value):
                 pieces = part.split("-")
-                if part in _MARKS or pieces[0] in _MARKS or pieces[-1] in _MARKS:
-                    return True
-    return False
+                words = {part} | {pieces[0], pieces[-1]} - _WHOLE
+                if inside:
+                    words.discard("header")
+                found = max(found, _READER if words & _READERS else _MARK if words & _MARKS else _NO_MARK)
+    return found
+
+
+@dataclass
+class Mark:
+    """An element with a mark, and the text in it that is not boilerplate by the kind of an element."""
+
+    parent: int  # the marked element around it, -1 for none
+    readers: bool
+    article: int
+    letters: int = 0
+    linked: int = 0
+    void: bool = False
+
+
+def _void_around(marks: list[Mark], at: int, readers: bool) -> None:
+    """Void the marks from `at` outwards; beyond one that is void already for readers' marks, all are."""
+    while at >= 0 and not (readers and marks[at].void):
+        marks[at].void |= readers or not marks[at].readers
+        at = marks[at].parent
+
+
+def _judge_marks(blocks: list[Block], marks: list[Mark], within: list[int], around: dict[int, int], main: bool) -> None:
+    """Make the blocks within marks that hold boilerplate; around: the mark in which each outermost article begins."""
+    letters: dict[int, int] = {}
+    for block, at in zip(blocks, within):
+        if not block.boilerplate:
+            size = _letters(block.text)
+            letters[block.article] = letters.get(block.article, 0) + size
+            if at >= 0:
+                marks[at].letters += size
+                marks[at].linked += block.linked
+    for mark in reversed(marks):
+        if mark.parent >= 0:
+            marks[mark.parent].letters += mark.letters
+            marks[mark.parent].linked += mark.linked
+    articles = {k: n for k, n in letters.items() if k}
+    if articles and not main:
+        largest = max(articles, key=lambda k: (articles[k], -k))
+        _void_around(marks, around[largest], len(articles) == 1)
+    for mark in marks:
+        share = letters.get(mark.article, 0) if mark.article or not articles else None
+        if share is not None and not mark.readers:
+            mark.void |= 2 * mark.letters > share and mark.linked <= LINKS * mark.letters
+    bad: list[bool] = []
+    for mark in marks:
+        bad.append(not mark.void or mark.parent >= 0 and bad[mark.parent])
+    for block, at in zip(blocks, within):
+        block.boilerplate |= at >= 0 and bad[at]
+
+
+def _letters(text: str) -> int:
+    return len(text.replace(" ", ""))
 
 
 def blocks_of(page: str | None) -> list[Block]:
     """Blocks with text, in page order."""
     blocks: list[Block] = []
     page = page or ""
-    open_tags: list[tuple[str, bool, int]] = []  # name, boilerplate from here on, article
+    open_tags: list[tuple[str, bool, int, int]] = []  # name, boilerplate from here on, article, innermost mark
+    marks: list[Mark] = []
+    within: list[int] = []  # innermost mark of each block
+    around: dict[int, int] = {}
+    main = False
     parts: list[tuple[str, bool]] = []
     hidden = links = articles = 0
-    boilerplate, article = False, 0
+    boilerplate, article, mark = False, 0, -1
 
     def flush():
         text = _SPACE.sub(" ", html.unescape("".join(p for p, _ in parts))).strip()
         if text:
             linked = len(_SPACE.sub("", html.unescape("".join(p for p, in_link in parts if in_link))))
             blocks.append(Block(text, linked, boilerplate, article))
+            within.append(mark)
         parts.clear()
 
     def state():
-        return (open_tags[-1][1], open_tags[-1][2]) if open_tags else (False, 0)
+        return open_tags[-1][1:] if open_tags else (False, 0, -1)
 
     at, end = 0, len(page)
     while at < end:
@@ -124,29 +197,43 @@ def blocks_of(page: str | None) -> list[Block]:
         if found[1]:
             depth = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == name), -1)
             if depth >= 0:
-                for gone, _, _ in open_tags[depth:]:
+                for gone, *_ in open_tags[depth:]:
                     hidden -= gone in _HIDDEN
                     links -= gone == "a"
                 del open_tags[depth:]
-                boilerplate, article = state()
+                boilerplate, article, mark = state()
             continue
         if name in _ENDS and open_tags and open_tags[-1][0] in _ENDS[name]:
             open_tags.pop()
-            boilerplate, article = state()
+            boilerplate, article, mark = state()
         attributes = found[3] or ""
         if name in _VOID or attributes.endswith("/") and name not in _BLOCKS and name not in _HIDDEN:
             continue
+        kind = _mark(attributes, bool(article))
         if name in _ARTICLE:
             articles += 1
+            around.setdefault(articles, mark)
+            if name == "main":
+                main = True
+                _void_around(marks, mark, True)
+            # An article in another one may be a comment of it; other marks of an article are of what it holds.
+            kind = kind if kind == _READER and article and name == "article" else _NO_MARK
+        elif name in ("body", "html"):
+            kind = _NO_MARK
         inside = article or (articles if name in _ARTICLE else 0)
-        open_tags.append((name, boilerplate or name in _BOILERPLATE and not (name == "header" and inside) or name not in ("body", "html", *_ARTICLE) and _marked(attributes), inside))
-        boilerplate, article = state()
+        hard = boilerplate or kind == _UNSEEN or name in _BOILERPLATE and not (name == "header" and inside)
+        if not hard and (kind or name == "form"):
+            marks.append(Mark(mark, kind == _READER, article))
+            mark = len(marks) - 1
+        open_tags.append((name, hard, inside, mark))
+        boilerplate, article = hard, inside
         hidden += name in _HIDDEN
         links += name == "a"
         if name in _RAW:
             close = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = close.start() if close else end
     flush()
+    _judge_marks(blocks, marks, within, around, main)
     return blocks
 
 
@@ -163,16 +250,26 @@ def classify(blocks: list[Block]) -> list[bool]:
         stops, own = _STOPS[words[-1][0]], words[i]
         return sum(w in stops for w in own) / len(own) if own else 0.0
 
+    foreign = None  # whether the page is of a script without stop words, asked only where a block depends on it
+
+    def of_other_script() -> bool:
+        text = "".join("".join(_WORDS.findall(b.text)) for b in blocks)
+        return 2 * len(_LATIN.findall(text)) < len(text)
+
     first: list[bool | None] = []
     for i, block in enumerate(blocks):
-        letters = len(block.text.replace(" ", ""))
+        letters = _letters(block.text)
         links = block.linked / letters
+        if letters < LONG:
+            letters += 2 * len(_IDEOGRAPHS.findall(block.text))
         if block.boilerplate or links > (LINKS_IN_ARTICLE if block.article else LINKS):
             first.append(False)
         elif letters < SHORT:
             first.append(None)
         elif block.article:
             first.append(True)
+        elif foreign or foreign is None and (foreign := of_other_script()):
+            first.append(True)
         elif letters >= LONG:
             first.append(density(i) >= STOP_LOW)
         else:
