@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from threadloom.llm import ann, bpe, components, html_text, licenses, line_dedup, near_dups, packing, quality, registry, toxicity, urls
+from threadloom.llm import ann, bpe, components, html_text, licenses, line_dedup, near_dups, oracles, packing, quality, registry, toxicity, urls
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, node string, bin string"
@@ -319,6 +320,57 @@ def test_pages_table(spark):
     assert html_text.extract(spark.createDataFrame([], schema)).count() == 0
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"),
+to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR
+A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN
+ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU %sGeneral Public License as published by the
+Free Software Foundation, either version 3 of the License"""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation
+and/or other materials provided with the distribution.
+%sTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY
+DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF
+USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING
+NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+CLAUSE = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software
+without specific prior written permission.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS
+SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
+CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS
+ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+NOTICE_CASES = [
+    (MIT, {"mit-text"}), (MIT.replace("without restriction", "without restriction except for commercial use, which is prohibited"), set()),
+    (MIT[: MIT.index(", including")] + ", except for commercial use, which is prohibited", set()), (MIT.replace("THE AUTHORS OR COPYRIGHT HOLDERS", "X"), {"mit-text"}),
+    (GPL % "", {"gpl-notice"}), (GPL % "Lesser ", {"lgpl-notice"}), (GPL % "Library ", {"lgpl-notice"}),
+    (BSD % "", {"bsd-text"}), (BSD % CLAUSE, {"bsd-text"}), (BSD % CLAUSE[:70], set()), (ISC, {"isc-text"}), (ISC.replace("with or without fee", "without fee"), set()),
+]
+
+
+def test_whole_license_texts_and_their_sql(spark, tmp_path):
+    rows = [(i, f"Some words. {text} More words.", 1) for i, (text, _) in enumerate(NOTICE_CASES)]
+    rows += [rows[0], (100, None, 1), (101, "", 1), (102, "word " * 50_000 + MIT, 1), (None, MIT, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, labels long")
+    found = {r.doc_id: {m.label for m in r.matches} for r in licenses.scan(docs).collect()}
+    want = {i: labels for i, (_, labels) in enumerate(NOTICE_CASES)} | {100: set(), 101: set(), 102: {"mit-text"}, None: {"mit-text"}}
+    assert found == want
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    sql = duck.execute(oracles.SQL["op8_license_scan"])
+    names = [c[0] for c in sql.description]
+    query = registry.op8_license_scan(spark, str(tmp_path)).select(*names)
+    assert Counter(map(tuple, query.collect())) == Counter(sql.fetchall())
+    assert licenses.scan(docs.limit(0)).count() == 0
+
+
 def test_license_templates(spark):
     found = lambda text: {label for *_, label in licenses.scan_words(licenses.tokens(text))[1]}
     assert found("Licensed under the Apache License, Version 2.0.") == {"apache-2.0"}
@@ -326,7 +378,7 @@ def test_license_templates(spark):
     assert found("is licensed under the terms of the GNU General Public License, version 3") == {"gpl-3.0"}
     assert found("obtaining a copy of this fine software and associated documentation files (x) to deal") == set()
     assert found("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
-                 " (the \"Software\"), to deal in the Software without restriction") == {"mit-text"}
+                 " (the \"Software\"), to deal in the Software without restriction") == set()  # the grant alone is not the whole mandatory wording
     rows = {r.doc_id: r for r in licenses.scan(spark.createDataFrame([(0, "The MIT License: mit license"), (1, None), (2, "")], "doc_id long, text string")).collect()}
     assert (rows[0].n_words, rows[0].n_base, rows[0].first_word, rows[0].last_word, rows[0].base_labels, rows[0].score) == (5, 2, 1, 3, ["mit"], 0.5)
     assert all((rows[i].n_words, rows[i].n_base, rows[i].first_word, rows[i].labels, rows[i].score) == (0, 0, None, [], 0.0) for i in (1, 2))

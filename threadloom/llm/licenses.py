@@ -22,18 +22,46 @@ from threadloom.llm.common import map_rows
 
 BASE_PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-# The mandatory wording of public license notices.
+# The mandatory wording of public license notices, and the whole texts of the MIT, BSD and ISC licenses.
 TEMPLATES = (
     ("apache-2.0", "licensed under the apache license [,] version 2 0"),
     ("gpl-3.0", "licensed under [the terms of] the gnu general public license [as published by the free software foundation] [either] version 3"),
     ("gpl-2.0", "licensed under [the terms of] the gnu general public license [as published by the free software foundation] [either] version 2"),
     ("gpl-notice", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
-    ("lgpl-notice", "under the terms of the gnu [lesser] [library] general public license {6} as published by the free software foundation"),
+    ("lgpl-notice", "under the terms of the gnu lesser general public license {6} as published by the free software foundation"),
+    ("lgpl-notice", "under the terms of the gnu library general public license {6} as published by the free software foundation"),
     ("mit-notice", "[is] released under the mit license"),
     ("mit-notice", "licensed under the mit license"),
-    ("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this {4} and associated documentation files {3} to deal in the {3} without restriction"),
-    ("bsd-text", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("isc-text", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    (
+        "mit-text",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files [the software] to deal in the software "
+        "without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to "
+        "permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice "
+        "[including the next paragraph] shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind "
+        "express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall {8} "
+        "be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software "
+        "or the use or other dealings in the software",
+    ),
+    (
+        "bsd-text",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+        "[1] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+        "[2] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or "
+        "other materials provided with the distribution [3] [neither the name of {12} nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission] this software is provided by {10} as is and any express or implied warranties "
+        "including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall {10} be liable "
+        "for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services "
+        "loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort "
+        "including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+    ),
+    (
+        "isc-text",
+        "permission to use copy modify {2} distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and "
+        "this permission notice appear in all copies the software is provided as is and {6} disclaims all warranties with regard to this software including all implied "
+        "warranties of merchantability and fitness in no event shall {6} be liable for any special direct indirect or consequential damages or any damages whatsoever "
+        "resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use "
+        "or performance of this software",
+    ),
     ("mpl-2.0", "subject to the terms of the mozilla public license [,] v 2 0"),
     ("cc-by-nc-4.0", "licensed under [a] [creative commons] cc by nc 4 0"),
     ("cc-by-sa-4.0", "licensed under [a] [creative commons] cc by sa 4 0"),
