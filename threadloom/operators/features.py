@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from threadloom.functions.binding import let
 from threadloom.functions.fuzzy import fuzzy_dictionaries
 from threadloom.functions.lexicon import score_text
 from threadloom.functions.lookup import lookup_tokens
+from threadloom.functions.runs import top_runs
 from threadloom.functions import text as X
 from threadloom.operators.merge import merge_columns
 
@@ -28,18 +28,13 @@ def lemmatise(rows: DataFrame, key: str, lemmas: DataFrame) -> DataFrame:
     return found.withColumn("tokens", replaced).drop("_lemmas")
 
 
-def _topics(tokens: Column) -> Column:
-    return F.concat(X.ngrams(tokens, 2), X.ngrams(tokens, 3))
-
-
 def doc_topics(rows: DataFrame, k: int = 10) -> DataFrame:
     """Add `topics`: the k most frequent runs of two or three tokens; ties to the earlier, pairs before triples."""
-    return rows.withColumn("topics", let(F.col("tokens"), lambda t: X.top_counted(_topics(t), k)))
+    return rows.withColumn("topics", top_runs(F.col("tokens"), (2, 3), k))
 
 
 def doc_top_terms(rows: DataFrame, k: int = 10) -> DataFrame:
-    top = let(F.col("tokens"), lambda t: X.top_counted(F.concat(t, _topics(t)), k))
-    return rows.withColumn("top_terms", top)
+    return rows.withColumn("top_terms", top_runs(F.col("tokens"), (1, 2, 3), k))
 
 
 def pending_keyword_posts(posts: DataFrame, analysis: DataFrame, limit: int | None = None) -> DataFrame:
