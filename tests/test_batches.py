@@ -2,10 +2,12 @@
 
 import random
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import rows
-from threadloom.functions import lexicon as L, wordsums
+from threadloom.functions import fuzzy, lexicon as L, wordsums
 from threadloom.operators import sentiment as S
 
 WORDS = "good BAD Great very so this never least at not but spark Spark's slow. (fine) don't été ÜBER :) x !? ... a. b.c".split()
@@ -59,3 +61,17 @@ def test_null_names_of_mentions_are_scored_on_the_whole_text(spark):
     analysis = spark.createDataFrame([("1", ["bad", None]), ("2", ["x"]), ("1", [])], "post_id string, tech_mentioned array<string>")
     found = S.mention_sentiments(posts, analysis, scoring(spark))
     assert rows(found, "post_id", "tech_name", "context") == [("1", "bad", "Bad"), ("1", None, "t Good. Bad"), ("2", "x", "")]
+
+
+def test_fuzzy_texts_become_strings_in_parts(spark, monkeypatch):
+    seen = []
+    plain = fuzzy.best_in_dictionaries
+    monkeypatch.setattr(fuzzy, "best_in_dictionaries", lambda texts, *rest: seen.append(len(texts)) or plain(texts, *rest))
+    monkeypatch.setattr(fuzzy, "CHUNK", 40)
+    made = {}
+    monkeypatch.setattr(fuzzy.F, "arrow_udf", lambda kind: lambda f: made.setdefault("f", f) and F.udf(f, kind))
+    fuzzy.fuzzy_dictionaries(F.col("text"), {"tech": [("spark", "Spark")], "skills": [("python", "Python")]})
+    texts = ["spark and pyton", None, "", "x" * 100, "sparks", "flink"] * 3
+    found = made["f"](pa.array(texts, pa.string())).to_pylist()
+    assert [(r["tech"], r["skills"]) for r in found] == [(["Spark"], ["Python"]), ([], []), ([], []), ([], []), (["Spark"], []), ([], [])] * 3
+    assert len(seen) > 3 and sum(seen) == len(texts)

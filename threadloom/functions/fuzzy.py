@@ -9,12 +9,15 @@ batch is scored as a single array of code points, so the work per batch is a few
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
+from threadloom.functions.batches import joined, parts_of
+
 GAP = 0x110000  # above every code point: the filler between texts matches nothing
 CHUNK = 200_000  # code points scored together: whole texts, as many as fit, and a single longer one by itself
 
@@ -207,7 +210,7 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
         yield start, texts[start:]
 
 
-def best_in_dictionaries(texts: pd.Series, dictionaries: list[list[str]], cutoff: float = 80.0, limit: int | None = 5) -> list[list[list[int]]]:
+def best_in_dictionaries(texts: Iterable[str | None], dictionaries: list[list[str]], cutoff: float = 80.0, limit: int | None = 5) -> list[list[list[int]]]:
     """For each dictionary and text the positions of its best terms, by score and then by dictionary order.
 
     The texts are laid out and indexed once for all dictionaries.
@@ -227,7 +230,7 @@ def best_in_dictionaries(texts: pd.Series, dictionaries: list[list[str]], cutoff
     return out
 
 
-def best_terms(texts: pd.Series, terms: list[str], cutoff: float = 80.0, limit: int | None = 5) -> list[list[int]]:
+def best_terms(texts: Iterable[str | None], terms: list[str], cutoff: float = 80.0, limit: int | None = 5) -> list[list[int]]:
     """For each text the positions of its best terms, by score and then by dictionary order."""
     return best_in_dictionaries(texts, [terms], cutoff, limit)[0]
 
@@ -245,10 +248,18 @@ def fuzzy_dictionaries(
     names = [[name for _, name in pairs] for pairs in dictionaries.values()]
     fields = list(dictionaries)
 
-    @F.pandas_udf(", ".join(f"`{f}` array<string>" for f in fields))
-    def mentions(batch: pd.Series) -> pd.DataFrame:
-        found = best_in_dictionaries(batch, keys, cutoff, limit)
-        return pd.DataFrame({f: [sorted({own[i] for i in hits}) for hits in rows] for f, own, rows in zip(fields, names, found)}, columns=fields)
+    kind = pa.struct([(f, pa.list_(pa.string())) for f in fields])
+
+    @F.arrow_udf(", ".join(f"`{f}` array<string>" for f in fields))
+    def mentions(batch: pa.Array) -> pa.Array:
+        # Only the texts of one part are Python strings at a time, however many rows or long texts the batch has.
+        sizes = pc.fill_null(pc.utf8_length(batch), 0).to_numpy(zero_copy_only=False)
+        parts = []
+        for start, n in parts_of(sizes, CHUNK):
+            found = best_in_dictionaries(batch.slice(start, n).to_pylist(), keys, cutoff, limit)
+            columns = [pa.array([sorted({own[i] for i in hits}) for hits in rows], pa.list_(pa.string())) for own, rows in zip(names, found)]
+            parts.append(pa.StructArray.from_arrays(columns, fields=list(kind)))
+        return joined(parts, kind)
 
     # Declared non-deterministic so that the optimizer does not run it a second time inside a pushed-down filter.
     return mentions.asNondeterministic()(F.lower(text))
