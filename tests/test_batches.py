@@ -75,3 +75,19 @@ def test_fuzzy_texts_become_strings_in_parts(spark, monkeypatch):
     found = made["f"](pa.array(texts, pa.string())).to_pylist()
     assert [(r["tech"], r["skills"]) for r in found] == [(["Spark"], ["Python"]), ([], []), ([], []), ([], []), (["Spark"], []), ([], [])] * 3
     assert len(seen) > 3 and sum(seen) == len(texts)
+
+
+def test_letters_beyond_ascii_have_the_same_case_as_in_spark(spark):
+    words = ["ΑΣ", "ΑΣ.", "ΣΑ.Β", "İZMIR", "STRAẞE", "straße", "Aƛ", "AꟜ", "ɤ", "ŉA", "ǰ", "ﬁne", "ÉTÉ", "Aᾳ", "good", "BAD"]
+    texts = [" ".join([w, "good", "BAD"]) for w in words] + [" ".join(words)]
+    cells = [(w, 1.0 + i) for i, w in enumerate(r[0] for r in spark.createDataFrame([(w,) for w in words], "w string").select(F.lower("w")).collect())]
+    table = L.scoring_table(spark.createDataFrame(cells, "term string, valence double"))
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    small = rows(L.score_text(df, "id", "text", table))
+    assert small == rows(L.score_text(df, "id", "text", table, max_rows=0))
+
+
+def test_texts_cross_to_python_once(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    plan = L.score_text(df, "id", "text", scoring(spark), ["spark"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "lower(" not in plan and "upper(" not in plan
