@@ -91,3 +91,13 @@ def test_texts_cross_to_python_once(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     plan = L.score_text(df, "id", "text", scoring(spark), ["spark"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "lower(" not in plan and "upper(" not in plan
+
+
+def test_extremes_read_the_scores_once(spark):
+    scored = spark.createDataFrame([("a", f"p{i}", s) for i, s in enumerate([0.9, 0.9, 0.2, 0.1, 0.05, -0.05, -0.3, -0.3, -0.8])] + [(None, "q", 0.5)], "tech_name string, post_id string, score double")
+    found = S.tech_sentiment_extremes(scored, 2)
+    assert rows(found, "tech_name", "kind", "place", "post_id") == [
+        ("a", "negative", 1, "p8"), ("a", "negative", 2, "p6"), ("a", "positive", 1, "p0"), ("a", "positive", 2, "p1"), (None, "positive", 1, "q"),
+    ]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
