@@ -101,3 +101,13 @@ def test_extremes_read_the_scores_once(spark):
     ]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+
+
+def test_the_summary_of_trends_is_found_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    mark = F.udf(lambda x: seen.add(1) or x, "double").asNondeterministic()
+    summary = spark.createDataFrame([("a", 0.5), ("b", -0.5)], "tech_name string, avg_sentiment double").withColumn("avg_sentiment", mark("avg_sentiment"))
+    summary = summary.where("avg_sentiment is not null")
+    trends = spark.createDataFrame([("a", 1, None), ("c", 2, 0.25)], "tech_name string, week int, sentiment_avg double")
+    assert rows(S.refresh_trend_sentiment(trends, summary)) == [("a", 1, 0.5), ("c", 2, 0.25)]
+    assert seen.value == 2
