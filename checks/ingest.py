@@ -493,7 +493,8 @@ def _streamed_posts(spark, sf) -> str:
 def stream_upsert_posts(spark, sf):
     root = _streamed_posts(spark, sf)
     names = U.stored_subreddits(spark, root)
-    return U.stored_posts(spark, root).join(F.broadcast(names), "subreddit_id").select(
+    posts = U.stored_posts(spark, root, ["post_id", "subreddit_id", "title", "author", "score"])
+    return posts.join(F.broadcast(names), "subreddit_id").select(
         "post_id", F.col("name").alias("subreddit"), "title", "author", "score"
     )
 
@@ -544,13 +545,15 @@ def stream_activity_table(spark, sf):
     """Labelled posts first, then all comments, then those of one role again."""
     root, source, checkpoint = (work_dir(spark, n) for n in ("store", "activity-topic", "store-checkpoint"))
     posts = R.keyed_json(_records(spark, sf).join(_labelled(spark, sf), "id", "left_semi"))
-    posts = posts.select(F.lit(U.POSTS_TOPIC).alias("topic"), "key", "value", F.lit("2024-02-01").cast("timestamp").alias("timestamp"))
-    U.apply_posts(posts, 0, root)
+    posts = posts.select(F.lit(U.POSTS_TOPIC).alias("topic"), "key", "value")
     comments = _comment_envelopes(spark, sf).drop("timestamp")
     again = comments.where(F.get_json_object("value", "$.author") == "user")
-    for day, rows in (("2024-02-01", posts.drop("timestamp")), ("2024-02-02", comments), ("2024-02-03", again)):
+    for day, rows in (("2024-02-01", posts), ("2024-02-02", comments), ("2024-02-03", again)):
         sent = rows.withColumn("timestamp", F.lit(day).cast("timestamp"))
         sent.write.mode("append").parquet(source)
+        if rows is posts:
+            # Stored from the messages as sent: the batch is read several times, and its joins ran each time.
+            U.apply_posts(spark.read.schema(sent.schema).parquet(source), 0, root)
         stream = spark.readStream.schema(sent.schema).parquet(source)
         U.stream_activity_table(stream, root, checkpoint).awaitTermination()
     return U.stored_activity(spark, root).select(

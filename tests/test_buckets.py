@@ -134,3 +134,26 @@ def test_weeks_without_new_posts_keep_their_files(spark, tmp_path):
     assert rows(table.read(spark)) == rows(T.weekly_mentions_full(posts, analysis))
     assert T.refresh_weekly_table(table, posts, analysis, F.lit("2025-01-01").cast("timestamp"), 2, 1) == set()
     assert files(table, spark, 2) == after
+
+
+def test_some_columns_are_read_and_folded_alone(spark, tmp_path):
+    for name, table in (
+        ("partial", M.partial_table(str(tmp_path / "p"), SCHEMA, ["key"], ["score"], buckets=2)),
+        ("full", M.full_table(str(tmp_path / "f"), SCHEMA, ["key"], buckets=2)),
+    ):
+        for version, batch in enumerate(BATCHES[:2]):
+            table.apply(frame(spark, batch), version, ["at"], version - 1 if version else None)
+        everything = plain(BATCHES[:2], None if name == "full" else ["score"])
+        assert rows(table.read(spark, columns=["note", "key"])) == sorted(((n, k) for k, n, _ in everything), key=repr)
+        assert rows(table.read(spark, columns=["score"])) == sorted(((s,) for _, _, s in everything), key=repr)
+        assert rows(table.read(spark, columns=["key"])) == sorted(((k,) for k, _, _ in everything), key=repr)
+        plan = table.read(spark, columns=["key", "score"])._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" in plan and "struct(score" in plan and "note" not in re.sub(r"Relation \[.*", "", plan)
+
+
+def test_first_rows_of_a_bucket_are_written_once(spark, tmp_path):
+    table = M.full_table(str(tmp_path / "t"), SCHEMA, ["key"], buckets=4, most_changes=0)
+    table.apply(frame(spark, BATCHES[0]), 0, ["at"])
+    assert {e.kind for e in table.entries(spark, 0)} == {B.CHANGES} and not os.path.exists(f"{table.path}/base")
+    table.apply(frame(spark, BATCHES[1]), 1, ["at"], 0)
+    assert rows(table.read(spark)) == plain(BATCHES[:2], None)

@@ -98,17 +98,20 @@ def _age(rows: DataFrame, order: list[str]) -> Column:
 
 
 def first_and_last(rows: DataFrame, keys: list[str], updates: list[str], order: list[str]) -> DataFrame:
-    """Per key the columns in `updates` of its latest row and all others of its first row."""
+    """Per key the columns in `updates`, if they are there, of its latest row and all others of its first row."""
     kept = [c for c in rows.columns if c not in [*keys, *updates]]
+    updates = [c for c in updates if c in rows.columns]
     age = _age(rows, order)
-    both = rows.groupBy(*keys).agg(F.min_by(F.struct(*kept), age).alias("_first"), F.max_by(F.struct(*updates), age).alias("_last"))
+    # Without a column on one side its struct would be empty; the keys stand in.
+    first, last = F.struct(*(kept or keys)), F.struct(*(updates or keys))
+    both = rows.groupBy(*keys).agg(F.min_by(first, age).alias("_first"), F.max_by(last, age).alias("_last"))
     return both.select(*keys, *[f"_first.{c}" for c in kept], *[f"_last.{c}" for c in updates])
 
 
 def latest_rows(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Per key its whole latest row."""
     rest = [c for c in rows.columns if c not in keys]
-    found = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), _age(rows, order)).alias("_last"))
+    found = rows.groupBy(*keys).agg(F.max_by(F.struct(*(rest or keys)), _age(rows, order)).alias("_last"))
     return found.select(*keys, *[f"_last.{c}" for c in rest])
 
 

@@ -99,23 +99,28 @@ class BucketTable:
             return spark.createDataFrame([], spec)
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
-    def _together(self, spark: SparkSession, entries: list[Entry]) -> DataFrame:
+    def _together(self, spark: SparkSession, entries: list[Entry], names: list[str] | None = None) -> DataFrame:
         """One row per key of buckets of which all folders are given."""
+        names = names or self.schema.names
         base, changes = ([e for e in entries if e.kind == kind] for kind in (BASE, CHANGES))
-        old = self._rows(spark, base, self.schema).select(*self.schema.names)
+        old = self._rows(spark, base, self.schema).select(*names)
         if not changes:
             return old
-        new = self._rows(spark, changes, self.schema).drop("bucket")
+        new = self._rows(spark, changes, self.schema).select(*names, "version")
         if self.merge is None:
             both = new.unionByName(old.withColumn("version", F.lit(-1).cast("long")))
-            return self.fold(both, ["version"]).select(*self.schema.names)
-        return self.merge(old, self.fold(new, ["version"]).select(*self.schema.names)) if base else self.fold(new, ["version"]).select(*self.schema.names)
+            return self.fold(both, ["version"]).select(*names)
+        return self.merge(old, self.fold(new, ["version"]).select(*names)) if base else self.fold(new, ["version"]).select(*names)
 
-    def read(self, spark: SparkSession, version: int | None = None, buckets: set[int] | None = None) -> DataFrame:
+    def read(
+        self, spark: SparkSession, version: int | None = None, buckets: set[int] | None = None, columns: list[str] | None = None
+    ) -> DataFrame:
         """One row per key of a version (the latest one by default), of some buckets or all.
 
-        A bucket that is one folder has one row per key already: its rows pass as they are.
+        A bucket that is one folder has one row per key already: its rows pass as they are. Tables whose fold takes the
+        columns it is given can be asked for some `columns`; only these and the keys are read and folded.
         """
+        names = [c for c in self.schema.names if columns is None or c in columns or c in self.keys]
         version = self.latest(spark) if version is None else version
         per_bucket: dict[int, list[Entry]] = defaultdict(list)
         for e in self.entries(spark, version):
@@ -123,15 +128,19 @@ class BucketTable:
                 per_bucket[e.bucket].append(e)
         lone = [e for found in per_bucket.values() if len(found) == 1 for e in found]
         rest = [e for found in per_bucket.values() if len(found) > 1 for e in found]
-        plain = self._rows(spark, lone, self.schema).select(*self.schema.names)
-        return plain.unionByName(self._together(spark, rest)) if rest else plain
+        plain = self._rows(spark, lone, self.schema).select(*names)
+        both = plain.unionByName(self._together(spark, rest, names)) if rest else plain
+        return both if columns is None else both.select(*columns)
 
     # Changing
 
     def _write(self, rows: DataFrame, kind: str, version: int) -> set[int]:
-        """Write rows by bucket with their filters; the buckets written."""
+        """Write rows by bucket with their filters; the buckets written.
+
+        Rows come from a fold, dealt by key: each of its tasks writes a file per bucket, and they are not shuffled again.
+        """
         spark, folder = rows.sparkSession, self._folder(kind, version)
-        placed = rows.withColumn("bucket", self.bucket_of()).hint("rebalance", "bucket")
+        placed = rows.withColumn("bucket", self.bucket_of())
         placed.write.mode("overwrite").partitionBy("bucket").parquet(folder)
         written = {int(n.removeprefix("bucket=")) for n in list_names(spark, folder) if n.startswith("bucket=")}
         if self.filtered:
@@ -153,7 +162,8 @@ class BucketTable:
         counts: dict[int, int] = defaultdict(int)
         for e in kept:
             counts[e.bucket] += e.kind == CHANGES
-        full = {e.bucket for e in changed if counts[e.bucket] >= self.most_changes}
+        # A bucket that had nothing has one row per key as it is.
+        full = {e.bucket for e in changed if e.bucket in counts and counts[e.bucket] >= self.most_changes}
         if full:
             self._write(self._together(spark, [e for e in [*kept, *changed] if e.bucket in full]), BASE, version)
         entries = [e for e in [*kept, *changed] if e.bucket not in full] + [Entry(b, BASE, version) for b in sorted(full)]

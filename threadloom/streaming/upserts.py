@@ -73,8 +73,8 @@ def write_rejects(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def stored_posts(spark: SparkSession, root: str) -> DataFrame:
-    return post_table(spark, root).read(spark)
+def stored_posts(spark: SparkSession, root: str, columns: list[str] | None = None) -> DataFrame:
+    return post_table(spark, root).read(spark, columns=columns)
 
 
 def stored_comments(spark: SparkSession, root: str) -> DataFrame:
