@@ -418,3 +418,11 @@ def test_url_rules_and_reputation(spark):
     assert len(hostless) == 60 and {r.verdict for r in hostless} == {"allow"}
     assert by[402] == ("www.example.com", "/en/a", "www.example.com/en/", "allow")
     assert by[403] == ("x.example.com", "/en/", "example.com/en/", "block") and by[404][:2] == ("com", "")
+
+
+def test_remembered_scores_are_small_and_bounded(monkeypatch):
+    monkeypatch.setattr(toxicity, "REMEMBERED", 3)
+    model = toxicity.ToxicModel([f"t{i}" for i in range(30)], [1.0] * 30)
+    for i in range(10):
+        model.score(f"t{i} t{i + 1}")
+        assert len(model.memory) <= 3 and all(isinstance(k, bytes) and len(k) == 16 for k in model.memory)

@@ -23,12 +23,15 @@ repeated rows get equal scores; an empty table gives an empty result. Other colu
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import zlib
+from array import array
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from threadloom.llm.common import keys_hint, map_rows, store
@@ -40,6 +43,7 @@ FIRST_BLOCKS = 3
 K = 15
 BINS = 20
 THRESHOLD = 0.3
+REMEMBERED = 20_000  # scores a worker keeps for texts of equal vectors
 STARTS = (4, 5, 6)
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -75,7 +79,7 @@ class ToxicModel:
         self.terms, self.idf = terms, np.array(idf)
         self.vocabulary = {t: i for i, t in enumerate(terms)}
         self.edges, self.shares, self.bare_share = np.array([]), np.array([0.0]), 0.0
-        self.memory: dict[tuple, tuple] = {}
+        self.memory: dict[bytes, tuple] = {}
         self.index([], [], [], [])
 
     def __getstate__(self):
@@ -158,14 +162,16 @@ class ToxicModel:
 
     def score(self, text: str | None) -> tuple[float, list[tuple[object, float, float]]]:
         """Calibrated score, and the evidence: (name of the example, cosine, share of label 1) of up to five neighbours."""
-        key = self.vector(text)
-        if not key[0]:
+        ids, weights = self.vector(text)
+        if not ids:
             return self.bare_share, []
+        # A digest, since the vectors of long texts take kilobytes each.
+        key = hashlib.blake2b(array("q", ids).tobytes() + array("d", weights).tobytes(), digest_size=16).digest()
         found = self.memory.get(key)
         if found is None:
-            if len(self.memory) > 50_000:
+            if len(self.memory) >= REMEMBERED:
                 self.memory.clear()
-            vote, near = self.vote(*key)
+            vote, near = self.vote(ids, weights)
             score = float(self.shares[np.searchsorted(self.edges, vote, side="right")])
             evidence = [(self.names[e], s, float(self.ones[e] / (self.ones[e] + self.zeros[e]))) for e, s in near[:5]]
             found = self.memory[key] = (score, evidence)
@@ -282,14 +288,12 @@ def score_documents(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id",
 
 
 def drop_toxic(docs: DataFrame, model: ToxicModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs with a score below threshold, all columns as they are."""
+    """The rows of docs with a score below threshold, all columns as they are. Only texts go to Python, and only scores back."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
 
-    def run(batches):
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
         model = shared.value
-        for batch in batches:
-            scores = np.array([model.score(t.as_py())[0] for t in batch.column(at)])
-            yield batch.take(np.flatnonzero(scores < threshold))
+        return pa.array([model.score(t.as_py())[0] for t in texts], pa.float64())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(score.asNondeterministic()(F.col(f"`{text_col}`")) < threshold)
