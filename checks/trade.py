@@ -627,7 +627,9 @@ FROM k WHERE kind IS NOT NULL QUALIFY place <= 5"""
 
 def run_all_analyses(spark, sf):
     out = work_dir(spark, "analyses")
-    run = P.run_all_analyses(A.trade_posts(spark, sf, True), analysis(spark, sf), dims(spark, sf), out, AS_OF)
+    # The analysis is a stored table; as a plan, the correlation would look for its names again.
+    analysed = cut_lineage(analysis(spark, sf), "analysis")
+    run = P.run_all_analyses(A.trade_posts(spark, sf, True), analysed, dims(spark, sf), out, AS_OF)
     if run.errors:
         raise next(iter(run.errors.values()))
     counts = None

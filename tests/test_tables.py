@@ -375,3 +375,29 @@ def test_thirds_keep_names_with_undated_posts(spark):
     scored = spark.createDataFrame(rows, "tech_name string, post_id string, score double, created_date timestamp")
     found = tech_sentiment_thirds(scored).collect()
     assert len(found) == 1 and found[0].recent == 2.5 and found[0].early + found[0].mid == 1.0
+
+
+def test_all_analyses_join_posts_and_analysis_once(spark, tmp_path):
+    from threadloom.plans.analyses import run_all_analyses
+
+    seen = spark.sparkContext.accumulator(0)
+    mark = F.udf(lambda x: seen.add(1) or x, "string").asNondeterministic()
+    data = [(p, n, ["sql"] if i % 2 else None, s, d, i % 2, "job?", i, 2 * i) for i, (p, n, s, d) in enumerate([
+        ("1", ["a", "b"], 0.1, "2024-01-01"), ("1", ["a"], 0.3, "2024-01-01"), ("2", None, 0.2, "2024-02-09"), ("3", ["a", "a"], None, None),
+        (None, ["b"], 0.5, "2024-01-02"), ("4", [], 0.4, "2024-01-31"), *[(f"x{i}", ["a", "c"], i / 20, f"2024-0{1 + i % 3}-1{i % 9}") for i in range(60)],
+    ])]
+    df = spark.createDataFrame(data, "post_id string, tech_mentioned array<string>, skills_mentioned array<string>, sentiment_score double, day string, subreddit_id int, title string, score int, num_comments int")
+    posts = df.select("post_id", "subreddit_id", "title", "score", "num_comments", F.to_timestamp("day").alias("created_date"))
+    analysis = df.select("post_id", "tech_mentioned", "skills_mentioned", "sentiment_score")
+    subs = spark.createDataFrame([(0, "s"), (1, "t")], "subreddit_id int, name string")
+    run = run_all_analyses(posts.withColumn("title", mark("title")), analysis, subs, str(tmp_path / "out"), "2024-05-01")
+    assert not run.errors and seen.value == len(data)
+    apart = {
+        "weekly_tech_trends": T.weekly_tech_trends(posts, analysis), "skill_demand": T.skill_demand(posts, analysis),
+        "subreddit_tech_trends": T.subreddit_tech_trends(posts, analysis, subs), "tech_trends_weekly": T.tech_trends_by_time(posts, analysis, "week"),
+        "tech_trends_monthly": T.tech_trends_by_time(posts, analysis, "month"),
+        "sentiment_popularity": T.sentiment_popularity_corr(T.sentiment_popularity_monthly(posts, analysis)),
+    }
+    for name, expected in apart.items():
+        near = lambda df: [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows(df)]
+        assert near(spark.read.parquet(run.tables[name])) == near(expected) != [], name

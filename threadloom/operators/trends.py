@@ -16,6 +16,9 @@ from threadloom.sources.buckets import BucketTable
 # Words that mark a post as about work.
 JOB_WORDS = ["hiring", "job", "career", "looking for", "position"]
 EDGE_THRESHOLD = 0.05
+# What the trends read of posts and of their analysis.
+POST_COLUMNS = ["subreddit_id", "title", "score", "num_comments", "created_date"]
+NAME_COLUMNS = ["tech_mentioned", "skills_mentioned"]
 
 
 def as_date(day: str | datetime.date | Column) -> Column:
@@ -29,11 +32,31 @@ def mentions(posts: DataFrame, analysis: DataFrame, names: str = "tech_mentioned
     return joined.select(F.explode(names).alias("tech_name"), *columns)
 
 
-def _weekly(posts: DataFrame, analysis: DataFrame, *extra: str) -> DataFrame:
+def analysed_posts(posts: DataFrame, analysis: DataFrame) -> DataFrame:
+    """Posts that name anything, joined with their analysis: the columns of both that the trends below read, if there.
+
+    The functions of (posts, analysis) that ask `_mentions` take such rows, stored once for all of them, as posts with
+    None as analysis.
+    """
+    named = [F.size(c) > 0 for c in NAME_COLUMNS if c in analysis.columns]
+    own = analysis.select("post_id", *[c for c in (*NAME_COLUMNS, "sentiment_score") if c in analysis.columns])
+    if named:
+        own = own.where(F.coalesce(*[F.when(n, True) for n in named]))
+    return own.join(posts.select("post_id", *[c for c in POST_COLUMNS if c in posts.columns]), "post_id")
+
+
+def _mentions(posts: DataFrame, analysis: DataFrame | None, names: str, of_posts: list[str | Column], *of_analysis: str) -> DataFrame:
+    """mentions with columns of the posts and of the analysis; without analysis, posts are analysed_posts."""
+    if analysis is not None:
+        dated = posts.select("post_id", *of_posts)
+        return mentions(dated, analysis.select("post_id", names, *of_analysis), names, *dated.columns[1:], *of_analysis)
+    rows = posts.where(F.size(names) > 0).select(names, *of_posts, *of_analysis)
+    return rows.select(F.explode(names).alias("tech_name"), *rows.columns[1:])
+
+
+def _weekly(posts: DataFrame, analysis: DataFrame | None, *extra: str) -> DataFrame:
     week = period_start("week", F.col("created_date")).alias("week_start")
-    dated = posts.select("post_id", week, "subreddit_id")
-    return mentions(dated, analysis.select("post_id", "tech_mentioned", *extra), "tech_mentioned", "week_start",
-                    "subreddit_id", *extra)
+    return _mentions(posts, analysis, "tech_mentioned", [week, "subreddit_id"], *extra)
 
 
 def weekly_mentions_full(posts: DataFrame, analysis: DataFrame) -> DataFrame:
@@ -97,7 +120,7 @@ def refresh_weekly_table(
     return weeks
 
 
-def weekly_tech_trends(posts: DataFrame, analysis: DataFrame) -> DataFrame:
+def weekly_tech_trends(posts: DataFrame, analysis: DataFrame | None) -> DataFrame:
     return _weekly(posts, analysis, "sentiment_score").groupBy("tech_name", "week_start", "subreddit_id").agg(
         F.count("*").alias("mention_count"), F.avg("sentiment_score").alias("sentiment_avg")
     )
@@ -234,28 +257,19 @@ def tech_correlation(
     return correlation_edges(jaccard(cooccurrence(analysis, popular), popular), as_of)
 
 
-def skill_demand(posts: DataFrame, analysis: DataFrame) -> DataFrame:
+def skill_demand(posts: DataFrame, analysis: DataFrame | None) -> DataFrame:
     """Skills per month over posts whose title is about work."""
     about_work = posts.where(F.lower("title").rlike("|".join(JOB_WORDS)) & F.col("created_date").isNotNull())
-    dated = about_work.select("post_id", period_start("month", F.col("created_date")).alias("month"))
-    rows = mentions(dated, analysis.select("post_id", "skills_mentioned"), "skills_mentioned", "month")
+    rows = _mentions(about_work, analysis, "skills_mentioned", [period_start("month", F.col("created_date")).alias("month")])
     return rows.groupBy("month", F.col("tech_name").alias("skill")).agg(F.count("*").alias("mention_count"))
 
 
 def subreddit_tech_trends(
-    posts: DataFrame, analysis: DataFrame, subreddits: DataFrame, min_mentions: int = 3
+    posts: DataFrame, analysis: DataFrame | None, subreddits: DataFrame, min_mentions: int = 3
 ) -> DataFrame:
     """Per subreddit, name, week and month; a week that crosses a month's end gives two rows."""
-    dated = posts.select(
-        "post_id",
-        "subreddit_id",
-        period_start("week", F.col("created_date")).alias("week_start"),
-        period_start("month", F.col("created_date")).alias("month_start"),
-    )
-    rows = mentions(
-        dated, analysis.select("post_id", "tech_mentioned", "sentiment_score"), "tech_mentioned",
-        "subreddit_id", "week_start", "month_start", "sentiment_score",
-    )
+    periods = [period_start(unit, F.col("created_date")).alias(f"{unit}_start") for unit in ("week", "month")]
+    rows = _mentions(posts, analysis, "tech_mentioned", ["subreddit_id", *periods], "sentiment_score")
     counted = (
         rows.groupBy("subreddit_id", "tech_name", "week_start", "month_start")
         .agg(F.count("*").alias("mention_count"), F.avg("sentiment_score").alias("sentiment_avg"))
@@ -266,17 +280,12 @@ def subreddit_tech_trends(
     return counted.join(names, "subreddit_id")
 
 
-def sentiment_popularity_monthly(posts: DataFrame, analysis: DataFrame, min_mentions: int = 10) -> DataFrame:
-    dated = posts.select(
-        "post_id", period_start("month", F.col("created_date")).alias("month"), "score", "num_comments"
-    )
-    scored = analysis.where(F.col("sentiment_score").isNotNull())
-    rows = mentions(
-        dated, scored.select("post_id", "tech_mentioned", "sentiment_score"), "tech_mentioned",
-        "month", "sentiment_score", "score", "num_comments",
-    )
+def sentiment_popularity_monthly(posts: DataFrame, analysis: DataFrame | None, min_mentions: int = 10) -> DataFrame:
+    month = period_start("month", F.col("created_date")).alias("month")
+    rows = _mentions(posts, analysis, "tech_mentioned", [month, "score", "num_comments"], "sentiment_score")
     return (
-        rows.groupBy("tech_name", "month")
+        rows.where(F.col("sentiment_score").isNotNull())
+        .groupBy("tech_name", "month")
         .agg(
             F.avg("sentiment_score").alias("avg_sentiment"),
             F.avg("score").alias("avg_score"),
@@ -317,13 +326,10 @@ def sentiment_popularity_corr(monthly: DataFrame) -> DataFrame:
 
 
 def tech_trends_by_time(
-    posts: DataFrame, analysis: DataFrame, time_unit: str = "week", min_mentions: int = 5
+    posts: DataFrame, analysis: DataFrame | None, time_unit: str = "week", min_mentions: int = 5
 ) -> DataFrame:
-    dated = posts.select("post_id", period_start(time_unit, F.col("created_date")).alias("time_period"))
-    rows = mentions(
-        dated, analysis.select("post_id", "tech_mentioned", "sentiment_score"), "tech_mentioned",
-        "time_period", "sentiment_score",
-    )
+    period = period_start(time_unit, F.col("created_date")).alias("time_period")
+    rows = _mentions(posts, analysis, "tech_mentioned", [period], "sentiment_score")
     return (
         rows.groupBy("tech_name", "time_period")
         .agg(F.count("*").alias("mention_count"), F.avg("sentiment_score").alias("avg_sentiment"))

@@ -12,6 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from threadloom.operators import trends as A
+from threadloom.sizing import cut_lineage
 
 log = logging.getLogger(__name__)
 
@@ -31,24 +32,26 @@ def analyses(
     stored: Callable[[str], DataFrame],
     as_of: str | datetime.date,
     correlations: DataFrame | None = None,
+    analysed: DataFrame | None = None,
 ) -> dict[str, Callable[[], DataFrame]]:
     """Name to plan, in order; plans that need an earlier result ask for stored(its name).
 
-    With the stored correlation table, emerging_saved is that table with the emerging report merged in.
+    Given analysed, the stored analysed_posts of both, the plans read it instead of joining posts and analysis each. With the stored correlation table, emerging_saved is that table with the emerging report merged in.
     """
     def stored_trends() -> DataFrame:
         return stored("weekly_tech_trends")
 
+    both = (posts, analysis) if analysed is None else (analysed, None)
     plans = {
-        "weekly_tech_trends": lambda: A.weekly_tech_trends(posts, analysis),
+        "weekly_tech_trends": lambda: A.weekly_tech_trends(*both),
         "tech_growth": lambda: A.tech_growth(stored_trends()),
         "emerging_tech": lambda: A.emerging_tech(stored_trends()),
         "tech_correlation": lambda: A.tech_correlation(stored_trends(), analysis, as_of),
-        "skill_demand": lambda: A.skill_demand(posts, analysis),
-        "subreddit_tech_trends": lambda: A.subreddit_tech_trends(posts, analysis, subreddits),
-        "sentiment_popularity": lambda: A.sentiment_popularity_corr(A.sentiment_popularity_monthly(posts, analysis)),
-        "tech_trends_weekly": lambda: A.tech_trends_by_time(posts, analysis, "week"),
-        "tech_trends_monthly": lambda: A.tech_trends_by_time(posts, analysis, "month"),
+        "skill_demand": lambda: A.skill_demand(*both),
+        "subreddit_tech_trends": lambda: A.subreddit_tech_trends(*both, subreddits),
+        "sentiment_popularity": lambda: A.sentiment_popularity_corr(A.sentiment_popularity_monthly(*both)),
+        "tech_trends_weekly": lambda: A.tech_trends_by_time(*both, "week"),
+        "tech_trends_monthly": lambda: A.tech_trends_by_time(*both, "month"),
     }
     if correlations is not None:
         plans["emerging_saved"] = lambda: A.save_emerging(correlations, stored("emerging_tech"), as_of)
@@ -65,7 +68,8 @@ def run_all_analyses(
 ) -> Run:
     """Write every analysis below `out`, a new folder, up to `workers` of them at a time, each as soon as what it reads is there.
 
-    An error in one is kept and does not stop the others, but those that read its result fail too.
+    The posts are joined with their analysis once, for all of them; if that fails, each joins for itself. An error in
+    one is kept and does not stop the others, but those that read its result fail too.
     """
     spark = posts.sparkSession
     run = Run()
@@ -73,7 +77,12 @@ def run_all_analyses(
     def stored(name: str) -> DataFrame:
         return spark.read.parquet(run.tables[name])
 
-    plans = analyses(posts, analysis, subreddits, stored, as_of, correlations)
+    analysed = None
+    try:
+        analysed = cut_lineage(A.analysed_posts(posts, analysis), "analysed-posts")
+    except Exception:  # perhaps of a column that only some analyses read
+        log.exception("the analysed posts could not be stored")
+    plans = analyses(posts, analysis, subreddits, stored, as_of, correlations, analysed)
 
     def write(name: str) -> None:
         path = f"{out.rstrip('/')}/{name}"
