@@ -401,3 +401,25 @@ def test_all_analyses_join_posts_and_analysis_once(spark, tmp_path):
     for name, expected in apart.items():
         near = lambda df: [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows(df)]
         assert near(spark.read.parquet(run.tables[name])) == near(expected) != [], name
+
+
+def test_a_file_of_one_row_group_is_spread_over_the_cores(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from checks.adapters import load
+
+    folder = tmp_path / "data"
+    folder.mkdir()
+    pq.write_table(pa.table({"doc_id": list(range(4000)), "text": [str(i) * 20 for i in range(4000)]}), folder / "documents.parquet", row_group_size=4000, compression="none", use_dictionary=False)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, "1k")
+        found = load(spark, str(folder), "documents")
+        held = found.groupBy(F.spark_partition_id().alias("split")).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(held) >= spark.sparkContext.defaultParallelism and max(r["count"] for r in held) < 1000
+    assert sorted(rows(found, "doc_id")) == [(i,) for i in range(4000)]
