@@ -426,3 +426,22 @@ def test_remembered_scores_are_small_and_bounded(monkeypatch):
     for i in range(10):
         model.score(f"t{i} t{i + 1}")
         assert len(model.memory) <= 3 and all(isinstance(k, bytes) and len(k) == 16 for k in model.memory)
+
+
+def test_texts_without_repeated_lines_are_not_shuffled(spark, monkeypatch):
+    from threadloom.llm import common, line_dedup
+
+    clean = [(i, "\n".join(f"only doc {i} says this here in line {j} {i * j}x{i}" for j in range(1, 4)), "c") for i in range(300)]
+    copies = [(1000 + i, f"the same words stand in all of these lines\nbut line {i} of {i}y{i} is its own {i * 7}", "c") for i in range(40)]
+    odd = [(2000, None, "c"), (2001, "", "c"), (None, clean[0][1], "c"), (1000, copies[0][1], "d"), (1000, copies[0][1], "d")]
+    docs = spark.createDataFrame([*clean, *copies, *odd], "doc_id long, text string, lang string")
+    expected = sorted(map(str, line_dedup.drop_repeated_lines(docs, min_words=1).collect()))
+    judged = sorted(map(str, line_dedup.judge_lines(docs, min_words=1).collect()))
+    monkeypatch.setattr(common, "BROADCAST_KEYS", 0)
+    taken = line_dedup.drop_repeated_lines(docs, min_words=1)
+    assert sorted(map(str, taken.collect())) == expected
+    assert sorted(map(str, line_dedup.judge_lines(docs, min_words=1).collect())) == judged
+    # Of the documents, only those of copies and of the clean text's copy are joined.
+    marked, perhaps = line_dedup._perhaps_in(docs, F.xxhash64("text"), docs.where("lang = 'd'").select(F.xxhash64("text").alias("_row")))
+    assert {r.doc_id for r in marked.where(perhaps).collect()} == {1000}
+    assert marked.count() == docs.count()

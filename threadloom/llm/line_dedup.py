@@ -26,11 +26,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from threadloom.functions.binding import let
+from threadloom.llm import common
 from threadloom.llm.common import keys_hint, store
 
 MIN_WORDS = 8
 # Counted over sf0.1, pairs of different lines with one word replaced: 362 at 3 words, 35 at 4, 15 to 17 at 5, 6 and 7.
 NEAR_WORDS = 5
+# Bits of the map of text hashes that is copied to every executor: 16 MB, whatever the number of texts.
+MAP_BITS = 2**27
 
 _UPPER, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -68,6 +71,20 @@ def _place(prefix: str = "") -> Column:
     return F.struct(*[F.col(prefix + c).alias(c) for c in PLACE])
 
 
+def _perhaps_in(docs: DataFrame, row: Column, keys: DataFrame) -> tuple[DataFrame, Column]:
+    """docs joined with a bitmap of the hashes `_row` of keys, and whether a row's hash may be one of them.
+
+    False is certain, true is not. So the texts that no key names need not be shuffled to be joined with the keys.
+    """
+    bit = lambda hashed: F.pmod(hashed, F.lit(MAP_BITS)) + 1
+    of_keys = bit(F.col("_row"))
+    bits = keys.groupBy(F.bitmap_bucket_number(of_keys).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(of_keys)).alias("_bits"))
+    marked = docs.join(F.broadcast(bits), F.bitmap_bucket_number(bit(row)) == F.col("_bucket"), "left")
+    place = F.bitmap_bit_position(bit(row)).cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return marked, F.coalesce(F.getbit(byte, place % 8) == 1, F.lit(False))
+
+
 def judge_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(id, row, line, first_id, first_line, kept) of every line of at least min_words words.
 
@@ -99,6 +116,9 @@ def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     # Only documents with candidates are read again, and only their candidate lines leave the scan.
     known = candidates.select(F.col("id").alias("_id"), F.col("row").alias("_row")).distinct()
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("row"), F.col(text_col).alias("text"))
+    if total > common.BROADCAST_KEYS:
+        marked, perhaps = _perhaps_in(source, source["row"], known)
+        source = marked.where(perhaps).select("id", "row", "text")
     hint = keys_hint(known, total)
     source = source.join(hint, source["id"].eqNullSafe(F.col("_id")) & (source["row"] == F.col("_row")), "left_semi")
     words = _lines(source.select(F.col("id"), "text"), "id", "text")
@@ -191,6 +211,11 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
     removed = store(removed.where(F.size("_removed") > 0), "removed-lines")
     total = removed.agg(F.coalesce(F.sum(F.size("_removed") + 4), F.lit(0))).first()[0]
+    as_they_are = None
+    if total > common.BROADCAST_KEYS:
+        marked, perhaps = _perhaps_in(docs, F.xxhash64(text_col), removed)
+        as_they_are = marked.where(~perhaps).select(*[docs[c] for c in docs.columns])
+        docs = marked.where(perhaps).select(*[docs[c] for c in docs.columns])
     same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_row"))
     joined = docs.join(keys_hint(removed, total), same, "left").where(F.col("_removed").isNull() | (F.col("_left") == 1))
 
@@ -204,4 +229,5 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return let(F.split(text_col, "\n"), lambda lines: without(lines, numbers))
 
     text = F.when(F.col("_removed").isNull(), F.col(text_col)).otherwise(left(F.col("_removed")))
-    return joined.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
+    left_over = joined.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
+    return left_over if as_they_are is None else left_over.union(as_they_are)
