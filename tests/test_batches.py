@@ -39,6 +39,70 @@ def test_batch_scores_equal_joined_ones(spark, texts, monkeypatch):
     assert len({r[2] for r in small}) > 100
 
 
+PHRASES = "the bomb was yeah right kind of good good hand to mouth kiss of death so never bad".split()
+
+
+def phrase_scoring(spark):
+    valences = {"bomb": -2.2, "right": 0.5, "good": 1.9, "kind": 2.4, "mouth": 0.1, "kiss": 1.8, "death": -2.9, "bad": -2.5, "data warehouse": 3.0}
+    return L.scoring_table(spark.createDataFrame(list(valences.items()), "term string, valence double")), valences
+
+
+def published(words, valences):
+    """Sum of the scores of lower-cased words without capitals and 'but', by the published steps one word after the other."""
+    total = 0.0
+    boosters = {w: L.BOOST for w in L.STRENGTHEN} | {w: -L.BOOST for w in L.WEAKEN}
+    for i, w in enumerate(words):
+        if w in boosters or words[i : i + 2] == ["kind", "of"] or w not in valences:
+            continue
+        score = valences[w]
+        run = lambda first, n: " ".join(words[first : first + n]) if first + n <= len(words) else None  # noqa: E731, B023
+        for back, damping in ((1, 1.0), (2, 0.95), (3, 0.9)):
+            if i < back or words[i - back] in valences:
+                continue
+            step = boosters.get(words[i - back], 0.0)
+            score += (-step if score < 0 else step) * damping
+            so = back > 1 and {"so", "this"} & set(words[i - back + 1 : i])
+            if words[i - back] == "never" and so:
+                score *= {2: 1.5, 3: 1.25}[back]
+            elif words[i - back] in L.NEGATE:
+                score *= -0.74
+            if back == 3:
+                for idiom in (run(i - 1, 2), run(i - 2, 3), run(i - 2, 2), run(i - 3, 3), run(i - 3, 2)):
+                    if idiom in L.IDIOMS:
+                        score = L.IDIOMS[idiom]
+                        break
+                score = L.IDIOMS.get(run(i, 2), score)
+                score = L.IDIOMS.get(run(i, 3), score)
+                score += sum(boosters.get(run(*at), 0.0) for at in ((i - 3, 3), (i - 3, 2), (i - 2, 2)))
+        total += score
+    return total
+
+
+def test_phrases_are_scored(spark):
+    scoring, valences = phrase_scoring(spark)
+    cases = {
+        "we all think it is the bomb": 0.6124, "the bomb": -0.4939, "it was kind of good then": 0.3832, "all were very kind to us": 0.5709,
+        "they live from hand to mouth": -0.4588, "a data warehouse was here all day": 0.0,
+    }
+    df = spark.createDataFrame([(t,) for t in cases], "text string")
+    assert dict(rows(L.score_text(df, "text", "text", scoring), "text", "compound")) == cases
+    draw = random.Random(7)
+    texts = sorted({" ".join(draw.choice(PHRASES) for _ in range(draw.randint(0, 12))) for _ in range(400)})
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    small = rows(L.score_text(df, "text", "text", scoring))
+    assert small == rows(L.score_text(df, "text", "text", scoring, max_rows=0))
+    for text, compound, *_ in small:
+        total = published(text.split(), valences)
+        assert compound == pytest.approx(total / (total * total + 15) ** 0.5, abs=1e-4), text
+
+
+def test_phrases_need_no_column_in_the_table(spark):
+    scoring, _ = phrase_scoring(spark)
+    df = spark.createDataFrame([("we all think it is the bomb",)], "text string")
+    plain = scoring.drop("idiom")
+    assert [L.score_text(df, "text", "text", plain, max_rows=n).first()["compound"] for n in (0, 100)] == [-0.4939] * 2
+
+
 def test_words_are_scored_without_an_expression_per_word(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     scored = L.score_text(df, "id", "text", scoring(spark), ["spark"])
@@ -56,6 +120,39 @@ def test_text_is_split_once_for_all_its_names(spark):
     assert plan.count("split(") == 1 and "explode" not in plan
 
 
+def test_names_are_scored_with_their_phrases_and_set_apart(spark):
+    scoring, _ = phrase_scoring(spark)
+    df = spark.createDataFrame([("1", "goodFlink was there. We all think Flink is the bomb."), ("2", "none")], "post_id string, full_text string")
+    found = S.tech_sentiments(df, [("flink", "flink")], scoring)
+    assert rows(found, "post_id", "context") == [("1", "goodFlink was there. We all think Flink is the bomb.")]
+    alone = S.tech_sentiments(df, [("flink", "flink")], scoring, [])
+    total = [3.0 + 1.9, 3.0]
+    assert [r.first()["score"] for r in (found, alone)] == [pytest.approx(0.7 * x / (x * x + 15) ** 0.5, abs=1e-4) for x in total]
+
+
+def test_names_of_a_text_have_their_mean(spark):
+    data = [
+        ("1", "Spark is good. Flink is bad. Hive"), ("1", "Spark is bad"), (None, "Flink is good"), (None, "Flink is bad"), ("2", "none"), ("3", None),
+        ("1", "Spark is bad"),
+    ]
+    df = spark.createDataFrame(data, "post_id string, full_text string")
+    terms = [(t, t) for t in ("spark", "flink", "hive")]
+    found = S.tech_sentiments_with_mean(df, terms, scoring(spark))
+    good, bad = (0.7 * (v / (v * v + 15) ** 0.5) + 0.3 * p for v, p in ((1.9, 0.7), (-2.5, -0.7)))
+    near = lambda x: None if x is None else pytest.approx(x, abs=1e-4)
+    mean = (good + bad) / 3
+    expected = [
+        ("1", "flink", "Flink is bad.", bad, mean), ("1", "hive", "Hive", 0.0, mean), ("1", "spark", "Spark is bad", bad, bad),
+        ("1", "spark", "Spark is bad", bad, bad), ("1", "spark", "Spark is good.", good, mean), ("2", None, None, None, 0.0), ("3", None, None, None, 0.0),
+        (None, "flink", "Flink is bad", bad, bad), (None, "flink", "Flink is good", good, good),
+    ]
+    assert rows(found) == [(*r[:3], near(r[3]), near(r[4])) for r in expected]
+    assert rows(found.where("tech_name is not null").drop("avg_tech_sentiment")) == rows(S.tech_sentiments(df, terms, scoring(spark)))
+    kept = S.tech_sentiments_with_mean(df, terms, scoring(spark), kept=F.length)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "length(" in plan.split("Window", 1)[1] and kept.where("context is null").count() == 2
+
+
 def test_null_names_of_mentions_are_scored_on_the_whole_text(spark):
     posts = spark.createDataFrame([("1", "t", "Good. Bad", None), ("2", "t", None, None)], "post_id string, title string, text string, created_date timestamp")
     analysis = spark.createDataFrame([("1", ["bad", None]), ("2", ["x"]), ("1", [])], "post_id string, tech_mentioned array<string>")
