@@ -156,9 +156,11 @@ class BucketTable:
         that were changed.
         """
         spark = rows.sparkSession
-        touched = self._write(self.fold(rows, order).select(*self.schema.names), CHANGES, version)
+        # Rows in no order are one per key: a table of bases only begins with them as its bases.
+        kind = BASE if previous is None and not order and not self.most_changes else CHANGES
+        touched = self._write(self.fold(rows, order).select(*self.schema.names), kind, version)
         kept = [e for e in self.entries(spark, previous) if e.bucket not in drop]
-        changed = [Entry(b, CHANGES, version) for b in sorted(touched - set(drop))]
+        changed = [Entry(b, kind, version) for b in sorted(touched - set(drop))]
         counts: dict[int, int] = defaultdict(int)
         for e in kept:
             counts[e.bucket] += e.kind == CHANGES
