@@ -103,6 +103,74 @@ def test_phrases_need_no_column_in_the_table(spark):
     assert [L.score_text(df, "text", "text", plain, max_rows=n).first()["compound"] for n in (0, 100)] == [-0.4939] * 2
 
 
+MODIFIED = "good good! Bad very really really not never no it is a and fine !good! (fine)! ! !! slightly ... so".split()
+
+
+def polarity_scoring(spark):
+    """(polarity, subjectivity, intensity) by word; those with an intensity are modifiers."""
+    cells = {
+        "good": (0.7, 0.6, None), "bad": (-0.7, 0.67, None), "very": (0.2, 0.3, 1.3), "really": (0.2, 0.2, 1.5), "fine": (0.42, 0.5, None),
+        "slightly": (-0.17, 0.17, 0.5), "no": (-0.1, 0.4, None), "so": (0.0, 0.1, 0.0),
+    }
+    polarity = spark.createDataFrame([(w, *c) for w, c in cells.items()], "term string, polarity double, subjectivity double, intensity double")
+    return L.scoring_table(spark.createDataFrame([("good", 1.9)], "term string, valence double"), polarity), cells
+
+
+def assessed(text, cells):
+    """Polarity and subjectivity word after word, marks apart, as the library's loop has them."""
+    found, modifier, negation = [], None, None
+    tokens = []
+    for raw in text.lower().split(" "):
+        left = raw.lstrip(wordsums.MARKS)
+        bare = left.rstrip(wordsums.MARKS)
+        tokens += [*raw[: len(raw) - len(left)], *([bare] if len(bare) > 1 else []), *left[len(bare):]]
+    for w in tokens:
+        if w in cells:
+            p, s, own = cells[w]
+            if modifier is None:
+                found.append({"p": p, "s": s, "i": own if own is not None else 1.0, "n": 1})
+            else:
+                last = found[-1]
+                last["p"], last["s"] = (max(-1.0, min(x * last["i"], 1.0)) for x in (p, s))
+                last["i"] = own if own is not None else 1.0
+            if negation is not None:
+                found[-1]["i"] = 1.0 / found[-1]["i"] if found[-1]["i"] else 0.0
+                found[-1]["n"] = -1
+            modifier = w if own is not None else None
+            negation = w if w in ("no", "not", "never") else None
+            continue
+        if w in ("no", "not", "never"):
+            negation = w
+        elif negation and len(w) > 1:
+            negation = None
+        if negation is not None and modifier is not None and modifier.endswith("ly"):
+            found[-1]["n"], negation = -1, None
+        elif modifier and len(w) > 2:
+            modifier = None
+        if w == "!" and found:
+            found[-1]["p"] = max(-1.0, min(found[-1]["p"] * 1.25, 1.0))
+    mean = lambda x: sum(x) / (len(x) or 1)
+    return mean([x["p"] * (-0.5 if x["n"] < 0 else 1) for x in found]), mean([x["s"] for x in found])
+
+
+def test_polarities_of_a_table_with_intensities(spark):
+    scoring, cells = polarity_scoring(spark)
+    cases = {
+        "good": 0.7, "very good": 0.91, "not good": -0.35, "really not good": -0.5, "very not good": (0.2 - 0.35) / 2, "good!": 0.875,
+        "not and good": 0.7, "really is good": 1.0, "really and good": 0.45, "good, bad": 0.0, "and it": 0.0, "": 0.0,
+    }
+    df = spark.createDataFrame([(t,) for t in cases], "text string")
+    found = dict(rows(L.score_text(df, "text", "text", scoring), "text", "polarity"))
+    assert found == {t: pytest.approx(p) for t, p in cases.items()}
+    draw = random.Random(11)
+    texts = sorted({" ".join(draw.choice(MODIFIED) for _ in range(draw.randint(0, 14))) for _ in range(600)})
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    near = lambda x: pytest.approx(x, abs=1e-9)
+    for n in (100_000, 0):
+        found = {t: r for t, *r in rows(L.score_text(df, "text", "text", scoring, max_rows=n), "text", "polarity", "subjectivity")}
+        assert found == {t: [*map(near, assessed(" ".join(t.split()), cells))] for t in texts}
+
+
 def test_words_are_scored_without_an_expression_per_word(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     scored = L.score_text(df, "id", "text", scoring(spark), ["spark"])
