@@ -97,3 +97,30 @@ def test_weeks_close_once_and_late_rows_go_aside(spark, tmp_path):
     # The last batch again changes nothing.
     S.apply_weeks(spark.createDataFrame(batches[2], schema), 2, root)
     assert S.closed_weeks(spark, root).count() == 4 and S.late_rows(spark, root, late.schema).count() == 2
+
+
+def test_a_batch_is_read_and_decoded_once(spark, tmp_path):
+    root = str(tmp_path / "store")
+    sent = [
+        post(1), post(2, sub=None), post(2, author=None, score=None), post(None), ("posts", "x", "{bad"), ("posts", "n", None),
+        comment(1, "p1"), comment(1, "p1", score=4), comment(2, None), ("comments", "y", "{bad"),
+    ]
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(value):
+        read.add(1)
+        return value
+
+    batch = envelopes(spark, sent, 1).withColumn("value", F.udf(seen, "string")("value"))
+    for apply, topic in ((S.apply_posts, "posts"), (S.apply_comments, "comments")):
+        before = read.value
+        apply(batch, 0, root)
+        assert read.value - before == sum(m[0] == topic for m in sent)
+    names = S.stored_subreddits(spark, root)
+    posts = S.stored_posts(spark, root).join(names, "subreddit_id", "left")
+    found = rows(posts, "post_id", "author", "score", "name")
+    assert [r for r in found if r[0] != "p2"] == [("p1", "ann", 1, "s1"), ("pNone", "ann", 1, "s1")]
+    assert [r[0] for r in found] == ["p1", "p2", "pNone"] and rows(names, "name") == [("s1",)]
+    assert rows(S.stored_comments(spark, root), "comment_id", "post_id", "score") in ([("c1", "p1", 1)], [("c1", "p1", 4)])
+    assert rows(spark.read.parquet(f"{root}/rejected_posts"), "_corrupt") == [("{bad",)]
+    assert rows(spark.read.parquet(f"{root}/rejected_comments"), "_corrupt") == [("{bad",)]
