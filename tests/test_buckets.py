@@ -157,3 +157,42 @@ def test_first_rows_of_a_bucket_are_written_once(spark, tmp_path):
     assert {e.kind for e in table.entries(spark, 0)} == {B.CHANGES} and not os.path.exists(f"{table.path}/base")
     table.apply(frame(spark, BATCHES[1]), 1, ["at"], 0)
     assert rows(table.read(spark)) == plain(BATCHES[:2], None)
+
+
+def test_a_new_base_has_the_filters_of_its_folders(spark, tmp_path):
+    batches = [
+        [("a", "x", 1, 0), ("b", "x", 1, 0), (None, "x", 1, 0), ("", "x", 1, 0)] + [(f"k{i}", "x", i, 0) for i in range(60)],
+        [("a", "y", 2, 0), ("a", "z", 3, 1), (None, "y", 2, 0), ("c", "y", None, 0)],
+        [("k7", "w", 4, 0), ("d", "w", 4, 0), (None, "w", 4, 0)],
+    ]
+    for most in (0, 1):
+        table = M.full_table(str(tmp_path / f"t{most}"), SCHEMA, ["key"], buckets=4, most_changes=most)
+        read = []
+        with pytest.MonkeyPatch.context() as patch:
+            plain_rows = B.BucketTable._rows
+
+            def noted(self, session, entries, schema, suffix=""):
+                found = plain_rows(self, session, entries, schema, suffix)
+                read.extend((e, suffix) for e in entries)
+                return found
+
+            patch.setattr(B.BucketTable, "_rows", noted)
+            for version, batch in enumerate(batches):
+                table.apply(frame(spark, batch), version, ["at"], version - 1 if version else None)
+        # A folder is opened for its keys when it is new and for its rows when it is merged, never for the keys of a base just written.
+        bases = [e for e in table.entries(spark, 2) if e.kind == B.BASE]
+        assert bases and all((e, "") not in read for e in bases if e.version == 2)
+        for version in range(3):
+            for e in table.entries(spark, version):
+                folder = f"{table.path}/{e.kind}_filter/version={e.version}/bucket={e.bucket}"
+                keys = spark.read.schema(SCHEMA).parquet(f"{table.path}/{e.kind}/version={e.version}/bucket={e.bucket}")
+                want = keys.groupBy(table._word().alias("word")).agg(F.bit_or(table._mask()).alias("bits"))
+                assert rows(spark.read.parquet(folder), "word", "bits") == rows(want)
+        # Changes that are merged at once need none.
+        named = {(e.kind, e.version, e.bucket) for v in range(3) for e in table.entries(spark, v)}
+        for version in range(3):
+            folder = f"{table.path}/changes_filter/version={version}"
+            made = {int(n.removeprefix("bucket=")) for n in os.listdir(folder) if n.startswith("bucket=")} if os.path.exists(folder) else set()
+            assert made == {b for kind, v, b in named if kind == B.CHANGES and v == version}
+        asked = spark.createDataFrame([(k,) for k in ("a", "c", "d", "k59", "", "absent")], "key string")
+        assert rows(table.known(asked)) == [("",), ("a",), ("c",), ("d",), ("k59",)]

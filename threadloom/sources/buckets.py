@@ -135,19 +135,27 @@ class BucketTable:
     # Changing
 
     def _write(self, rows: DataFrame, kind: str, version: int) -> set[int]:
-        """Write rows by bucket with their filters; the buckets written.
+        """Write rows by bucket, without their filters; the buckets written.
 
         Rows come from a fold, dealt by key: each of its tasks writes a file per bucket, and they are not shuffled again.
         """
         spark, folder = rows.sparkSession, self._folder(kind, version)
         placed = rows.withColumn("bucket", self.bucket_of())
         placed.write.mode("overwrite").partitionBy("bucket").parquet(folder)
-        written = {int(n.removeprefix("bucket=")) for n in list_names(spark, folder) if n.startswith("bucket=")}
-        if self.filtered:
-            keys = self._rows(spark, [Entry(b, kind, version) for b in written], self.schema)
-            words = keys.groupBy("bucket", self._word().alias("word")).agg(F.bit_or(self._mask()).alias("bits"))
-            words.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(self._folder(kind + "_filter", version))
-        return written
+        return {int(n.removeprefix("bucket=")) for n in list_names(spark, folder) if n.startswith("bucket=")}
+
+    def _write_filters(self, spark: SparkSession, kind: str, version: int, fresh: list[Entry], stored: list[Entry] = ()) -> None:
+        """Write the filters of the folders of kind and version that hold the keys of the folders in `fresh` and `stored`.
+
+        Those in `stored` have filters, which are put together without reading their keys again.
+        """
+        if not self.filtered or not fresh:
+            return
+        words = self._rows(spark, fresh, self.schema).select("bucket", self._word().alias("word"), self._mask().alias("bits"))
+        if stored:
+            words = words.unionByName(self._rows(spark, stored, _FILTER, "_filter").select("bucket", "word", "bits"))
+        words = words.groupBy("bucket", "word").agg(F.bit_or("bits").alias("bits"))
+        words.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(self._folder(kind + "_filter", version))
 
     def apply(self, rows: DataFrame, version: int, order: list[str], previous: int | None = None, drop: set[int] = frozenset()) -> set[int]:
         """Take rows, whose copies of a key come in `order`, into version `previous` and make it `version`.
@@ -166,8 +174,12 @@ class BucketTable:
             counts[e.bucket] += e.kind == CHANGES
         # A bucket that had nothing has one row per key as it is.
         full = {e.bucket for e in changed if e.bucket in counts and counts[e.bucket] >= self.most_changes}
+        self._write_filters(spark, kind, version, [e for e in changed if e.bucket not in full])
         if full:
-            self._write(self._together(spark, [e for e in [*kept, *changed] if e.bucket in full]), BASE, version)
+            merged, old = ([e for e in part if e.bucket in full] for part in (changed, kept))
+            self._write(self._together(spark, [*old, *merged]), BASE, version)
+            # A new base has the keys of the folders it is made of.
+            self._write_filters(spark, BASE, version, merged, old)
         entries = [e for e in [*kept, *changed] if e.bucket not in full] + [Entry(b, BASE, version) for b in sorted(full)]
         self._swap(spark, version, entries)
         return touched
@@ -178,8 +190,10 @@ class BucketTable:
         written = self._write(rows.select(*self.schema.names), BASE, version)
         if written - buckets:
             raise ValueError(f"rows of buckets {sorted(written - buckets)}, which are not to be replaced")
+        bases = [Entry(b, BASE, version) for b in sorted(written)]
+        self._write_filters(spark, BASE, version, bases)
         kept = [e for e in self.entries(spark, previous) if e.bucket not in buckets]
-        self._swap(spark, version, kept + [Entry(b, BASE, version) for b in sorted(written)])
+        self._swap(spark, version, kept + bases)
 
     def vacuum(self, spark: SparkSession, keep: int = 2) -> None:
         """Delete all folders that the last `keep` versions do not name, for when no reader is on an older one."""
