@@ -196,3 +196,24 @@ def test_a_new_base_has_the_filters_of_its_folders(spark, tmp_path):
             assert made == {b for kind, v, b in named if kind == B.CHANGES and v == version}
         asked = spark.createDataFrame([(k,) for k in ("a", "c", "d", "k59", "", "absent")], "key string")
         assert rows(table.known(asked)) == [("",), ("a",), ("c",), ("d",), ("k59",)]
+
+
+def test_persisted_rows_are_shuffled_where_their_key_comes_again_only(spark, tmp_path):
+    few = [(f"k{i}", "once", i, 0) for i in range(30)] + [("k1", "again", 70, 2), ("k1", "later", 71, 3), (None, "x", 1, 0), (None, "y", 2, 1), ("", "e", 1, 0)]
+    batches = [few, [("k1", "second", 7, 1), (None, "second", None, 1), ("new", "second", 1, 1)], [("k2", "n", 5, 1), ("k2", "m", 6, 0), ("k2", "o", 7, 2)], []]
+    for name, updates, most in (("partial", ["score"], 1), ("full", None, 0)):
+        make = (lambda p, **o: M.partial_table(p, SCHEMA, ["key"], ["score"], **o)) if updates else (lambda p, **o: M.full_table(p, SCHEMA, ["key"], **o))
+        table = make(str(tmp_path / name), buckets=4, most_changes=most)
+        for version, batch in enumerate(batches):
+            table.apply(frame(spark, batch), version, ["at"], version - 1 if version else None, persisted=True)
+        assert rows(table.read(spark)) == plain(batches, updates)
+        asked = spark.createDataFrame([(k,) for k in ("k1", "k29", "new", "", "absent")], "key string")
+        assert rows(table.known(asked)) == [("",), ("k1",), ("k29",), ("new",)]
+
+    def steps(batch):
+        return table._folded(frame(spark, batch), ["at"], True)._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "LeftAnti" in steps(few) and "LeftSemi" in steps(few)
+    alone = steps([("a", "n", 1, 0), ("b", "n", 1, 0), (None, "n", 1, 0)])
+    assert "Aggregate" not in alone and "Join" not in alone
+    assert "Aggregate" in steps(batches[2]) and "Join" not in steps(batches[2])

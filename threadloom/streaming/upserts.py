@@ -113,7 +113,7 @@ def apply_posts(envelopes: DataFrame, batch_id: int, root: str, topic: str = POS
         known = names.read(spark, before) if before is not None else spark.createDataFrame([], DIMENSION)
         fresh = upsert_dimension(known, rows.select(F.col("subreddit").alias("name"))).join(known, "subreddit_id", "left_anti")
         names.apply(fresh.select("subreddit_id", "name"), batch_id, [], before)
-        posts.apply(lookup_dimension(rows, names.read(spark, batch_id)), batch_id, ["received"], posts_before)
+        posts.apply(lookup_dimension(rows, names.read(spark, batch_id)), batch_id, ["received"], posts_before, persisted=True)
 
 
 def apply_comments(envelopes: DataFrame, batch_id: int, root: str, topic: str = COMMENTS_TOPIC) -> None:
